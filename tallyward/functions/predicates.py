@@ -32,7 +32,11 @@ def value(expression: Value) -> Column:
 
 def all_of(*conditions: Condition) -> Column:
     """The conjunction; conditions that are plainly True are left out."""
-    kept = [condition(c) for c in conditions if c is not True and c != ""]
+    kept = [
+        condition(c)
+        for c in conditions
+        if c is not True and not (isinstance(c, str) and not c.strip())
+    ]
     return reduce(lambda a, b: a & b, kept) if kept else F.lit(True)
 
 
