@@ -35,6 +35,12 @@ def hourly(df: DataFrame, date_name: str) -> DataFrame:
     )
 
 
+def with_empty(df: DataFrame, names: list[str]) -> DataFrame:
+    """Add the named columns that are not there yet, all NULL."""
+    rest = [n for n in names if n not in df.columns]
+    return df.selectExpr("*", *[f"CAST(NULL AS STRING) AS {n}" for n in rest])
+
+
 def request_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as raw requests: device, site, model, address and so on."""
     known = hourly(table(spark, sf_dir, "events"), "p_date").withColumns(
@@ -55,10 +61,7 @@ def request_log(spark: SparkSession, sf_dir: str) -> DataFrame:
             ).when(F.col("event_type") == "click", "OTHER"),
         }
     )
-    rest = [c for c in REQUEST_COLUMNS if c not in known.columns]
-    return known.withColumns(
-        {c: F.lit(None).cast("string") for c in rest if c not in ("req_id", "ipc")}
-    )
+    return with_empty(known, [c for c in REQUEST_COLUMNS if c not in ("req_id", "ipc")])
 
 
 REQUEST_SQL = """

@@ -5,7 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyward.functions.scalars import ip_prefix, json_number, json_texts, time_difference
+from tallyward.functions.scalars import (
+    clip_top,
+    ip_prefix,
+    json_number,
+    json_texts,
+    time_difference,
+    transform,
+)
 from tallyward.operators.joins import (
     cast_lookup,
     drop_listed,
@@ -40,6 +47,7 @@ from .inputs import (
     request_log,
     sites,
     table,
+    with_empty,
 )
 from .registry import query, settle, settled, settled_sql
 
@@ -261,9 +269,7 @@ def source_convert_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
             "battery_remaining_pct": F.col("value"),
         }
     )
-    rest = [c for c in CONVERT_WIDE_COLUMNS if c not in known.columns]
-    log = known.withColumns({c: F.lit(None).cast("string") for c in rest})
-    return convert_wide(log, *_WINDOW).select(
+    return convert_wide(with_empty(known, CONVERT_WIDE_COLUMNS), *_WINDOW).select(
         "req_id", "union_imei", "model", "battery_remaining_pct", "date", "hour"
     )
 
@@ -296,7 +302,7 @@ def _ad_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
         "is_search is_reward_ads ac city_id pay_amount advertiser_first_industry_id "
         "advertiser_second_industry_id"
     ).split()
-    return known.withColumns({c: F.lit(None).cast("string") for c in rest})
+    return with_empty(known, rest)
 
 
 @query(
@@ -374,8 +380,6 @@ FROM events
 """,
 )
 def unary_transforms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tallyward.functions.scalars import clip_top, transform
-
     value = F.col("value")
     return table(spark, sf_dir, "events").select(
         "event_id",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -77,6 +77,16 @@ def json_texts(column: Column, fields: Iterable[str]) -> Column:
     )
 
 
+def unpack_json(df: DataFrame, column: str, fields: Sequence[str]) -> DataFrame:
+    """Replace a JSON column by its fields as texts.
+
+    All fields come from one parse, and since a generator makes them, filters on
+    them stay above it; as plain columns they would be parsed again per filter.
+    """
+    rest = [c for c in df.columns if c != column]
+    return df.select(*rest, F.json_tuple(column, *fields).alias(*fields))
+
+
 def json_number(parsed: Column, field: str) -> Column:
     """A field of `json_texts` as a double; quoted numbers count as numbers."""
     return parsed.getField(field).try_cast("double")

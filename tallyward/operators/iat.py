@@ -13,11 +13,13 @@ from ..functions.predicates import Condition, all_of
 from ..functions.scalars import clip_top, joined, steps_between
 from .features import check_names, key_column, quoted
 
-# An entity with more than this share of all rows is cut into time chunks, so
-# at most 1 / HOT_SHARE entities are, into at most 4 / HOT_SHARE chunks in all.
-HOT_SHARE = 1 / 10_000
+# An entity with more than this share of all rows is cut into chunks, so at most
+# 1 / HOT_SHARE entities are.
+HOT_SHARE = 1 / 1_000
 # Entities below this many rows are never cut.
 HOT_FLOOR = 1_000_000
+# Hot entities are cut at this many quantiles of the first sort key, squared.
+SIDE = 32
 
 
 @dataclass(frozen=True, eq=False)
@@ -154,9 +156,9 @@ def event_pairs(
     """(_by, rank_num, one column per step) for every event with a successor.
 
     The successor comes from a window per entity. Entities that hold too large
-    a share of the log are cut by their first sort key into chunks that sort in
-    separate tasks; the pairs across chunk edges are added from a small table
-    of the chunks' first and last events.
+    a share of the log are cut at quantiles of their first sort key into chunks
+    that sort in separate tasks; the pairs across chunk edges are added from a
+    small table of the chunks' first and last events.
     """
     events = _events(rows, dkey, spec)
     by = [f"_e{i}" for i in range(len(dkey))]
@@ -188,9 +190,9 @@ def event_pairs(
         )
 
     inside = link(chunked)
-    edges = _chunk_edges(link(chunked.where(F.col("_chunks").isNotNull())), by)
+    edges = _chunk_edges(link(chunked.where(F.col("_hot"))), by)
     if spec.ranked:
-        # `edges` has one row per chunk, at most 4 / hot_share rows in all.
+        # `edges` has one row per chunk, about SIDE ** 2 / hot_share at most.
         offsets = edges.select(
             *[F.col(b).alias(f"{b}_at") for b in by],
             F.col("_chunk").alias("_chunk_at"),
@@ -236,49 +238,88 @@ def _carried(spec: InterArrival) -> list[str]:
 
 
 def _splittable(kind: T.DataType) -> bool:
-    return isinstance(
-        kind, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
+    ordered = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
+    return isinstance(kind, (*ordered, T.StringType))
+
+
+def _place(kind: T.DataType, key: Column, skip: Column) -> Column:
+    """A double that never falls as the sort key grows.
+
+    Texts are placed by six bytes after the `skip` hex digits all keys share.
+    """
+    if isinstance(kind, T.StringType):
+        digits = F.rpad(F.substr(F.hex(key), skip + 1, F.lit(12)), 12, "0")
+        return F.conv(digits, 16, 10).cast("double")
+    if isinstance(kind, T.NumericType):
+        return key.cast("double")
+    return F.unix_micros(key.cast("timestamp")).cast("double")
+
+
+def _shared_digits(low: Column, high: Column) -> Column:
+    """Hex digits that two texts, and so all texts between them, begin with."""
+    one, other = F.hex(low), F.hex(high)
+    lengths = F.sequence(F.lit(0), F.least(F.length(one), F.length(other)))
+    return F.array_max(
+        F.filter(lengths, lambda n: F.substr(one, F.lit(1), n) == F.substr(other, F.lit(1), n))
     )
 
 
 def _chunk(
     events: DataFrame, by: list[str], hot_share: float, hot_floor: int
 ) -> DataFrame:
-    """Add `_chunk`, increasing with the first sort key inside an entity.
+    """Add `_chunk`, never falling with the first sort key, and `_hot`.
 
-    Only hot entities have more than one chunk; for all others `_chunks` is NULL.
+    Entities that are not hot have one chunk. The quantiles only balance the
+    chunks; the result does not depend on them.
     """
     kind = events.schema["_o0"].dataType
-    if isinstance(kind, T.NumericType):
-        position = F.col("_o0").cast("double")
-    else:
-        position = F.unix_micros(F.col("_o0").cast("timestamp")).cast("double")
-    placed = events.withColumn("_at", position)
-    sizes = placed.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_lo"), F.max("_at").alias("_hi")
+    text = isinstance(kind, T.StringType)
+    sizes = events.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_o0").alias("_lo"), F.max("_o0").alias("_hi")
     )
     total = sizes.agg(F.sum("_n")).scalar()
     limit = F.greatest(total * F.lit(hot_share), F.lit(float(hot_floor)))
+    skip = _shared_digits(F.col("_lo"), F.col("_hi")) if text else F.lit(0)
     hot = sizes.where(F.col("_n") > limit).select(
-        *[F.col(b).alias(f"{b}_hot") for b in by],
-        F.ceil(F.col("_n") / limit).alias("_chunks"),
-        "_lo",
-        "_hi",
+        *[F.col(b).alias(f"{b}_hot") for b in by], skip.alias("_skip")
     )
     same = F.lit(True)
     for b in by:
         same &= F.col(b).eqNullSafe(F.col(f"{b}_hot"))
-    share = F.try_divide(F.col("_at") - F.col("_lo"), F.col("_hi") - F.col("_lo"))
+    at = _place(kind, F.col("_o0"), F.col("_skip"))
+
+    # `hot` and `cuts` have one row per entity above a share of all rows, so at
+    # most 1 / hot_share rows.
+    count = SIDE * SIDE
+    shares = F.expr(f"array({', '.join(f'{i / count}D' for i in range(1, count))})")
+    cuts = (
+        events.join(F.broadcast(hot), same, "inner")
+        .groupBy(*[f"{b}_hot" for b in by], "_skip")
+        .agg(F.array_sort(F.percentile_approx(at, shares, F.lit(20 * count))).alias("_all"))
+        .select(
+            *[f"{b}_hot" for b in by],
+            "_skip",
+            F.transform(
+                F.sequence(F.lit(1), F.lit(SIDE - 1)), lambda i: F.get("_all", i * SIDE - 1)
+            ).alias("_coarse"),
+            F.transform(
+                F.sequence(F.lit(0), F.lit(SIDE - 1)),
+                lambda i: F.slice("_all", i * SIDE + 1, SIDE - 1),
+            ).alias("_fine"),
+        )
+    )
+
+    def below(quantiles: Column) -> Column:
+        return F.size(F.filter(quantiles, lambda q: q <= at))
+
+    coarse = below(F.col("_coarse"))
     chunk = (
-        F.when(F.col("_chunks").isNull(), F.lit(0).cast("long"))
-        .when(F.col("_at").isNull(), F.lit(-1).cast("long"))
-        .otherwise(F.coalesce(F.floor(share * F.col("_chunks")), F.lit(0).cast("long")))
+        F.when(F.col("_coarse").isNull(), 0)
+        .when(F.col("_o0").isNull(), -1)
+        .otherwise(coarse * SIDE + below(F.get("_fine", coarse)))
     )
-    # `hot` holds entities above a share of all rows: at most 1 / hot_share.
-    return (
-        placed.join(F.broadcast(hot), same, "left")
-        .withColumn("_chunk", chunk)
-        .drop("_at", "_lo", "_hi", *[f"{b}_hot" for b in by])
+    return events.join(F.broadcast(cuts), same, "left").select(
+        *events.columns, chunk.alias("_chunk"), F.col("_coarse").isNotNull().alias("_hot")
     )
 
 

@@ -14,6 +14,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
+from math import floor, prod
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +26,10 @@ from ..functions.scalars import json_number, json_texts
 from .groups import GROUP_KEYS, check_schemas
 
 
+# Cells are broadcast if the grid cannot have more of them than this.
+BROADCAST_CELLS = 1_000_000
+
+
 @dataclass(frozen=True)
 class GridDim:
     """Thresholds of one feature: low, low + step, ..., high."""
@@ -40,6 +45,10 @@ class GridDim:
         if self.low <= BELOW_GRID:
             raise ValueError(f"{self.feature}: thresholds must lie above {BELOW_GRID}")
 
+    @property
+    def most_points(self) -> int:
+        return floor((self.high - self.low) / self.step) + 2
+
 
 @dataclass(frozen=True)
 class Strategy:
@@ -380,7 +389,9 @@ def match_patterns(
 
     The rules' cells are widened to every cell that meets a rule, feature by
     feature; for the last feature the lowest threshold says it all. What is
-    joined to the groups is bounded by the grid, whatever the number of rules.
+    joined to the groups is bounded by the grid, whatever the number of rules;
+    beyond BROADCAST_CELLS it is joined by shuffling, where adaptive execution
+    splits cells that many groups share.
     """
     grids = grid_table(groups.sparkSession, strategies)
     width = _width(strategies)
@@ -406,6 +417,11 @@ def match_patterns(
             .groupBy("group_schema", *inner)
             .agg(F.min("_from").alias("_from"), F.bool_or("_below").alias("_below"))
         )
+    bound = sum(
+        prod(d.most_points + 1 for d in s.grid[: width - 1]) for s in strategies
+    )
+    if bound <= BROADCAST_CELLS:
+        hit = F.broadcast(hit)
     matched = (F.col(last) >= F.col("_from")) | ((F.col(last) == 0) & F.col("_below"))
     return (
         _cells(groups, grids, width)

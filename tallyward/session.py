@@ -11,6 +11,9 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Plans here have hundreds of columns; recording a Python call site for each
+    # takes longer than planning them.
+    "spark.sql.dataFrameQueryContext.enabled": "false",
 }
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import LABEL_DISPOSAL_TAGS, PLACEMENT_FLOOR
-from ..functions.scalars import json_number, json_texts
+from ..functions.scalars import unpack_json
 from ..operators.joins import drop_listed, keep_listed
 from .logs import risk_apps, risk_packages
 
@@ -30,39 +30,38 @@ GAME_TEXTS = ("rit", "ad_package_name", "union_imei", "req_id")
 USER_GROWTH_TEXTS = ("app_id", "ad_app_name", *GAME_TEXTS)
 
 
-def _parsed(table: DataFrame, numbers: Sequence[str], texts: Sequence[str]) -> DataFrame:
-    return table.withColumns(
-        {
-            "_feature": json_texts(F.col("feature_json"), numbers),
-            "_extra": json_texts(F.col("extra_json"), [*texts, "retention_day"]),
-        }
-    )
+def _unpacked(table: DataFrame, numbers: Sequence[str], texts: Sequence[str]) -> DataFrame:
+    """The date column, `numbers` of feature_json as doubles, `texts` of extra_json."""
+    rows = unpack_json(table, "feature_json", numbers)
+    rows = unpack_json(rows, "extra_json", texts)
+    return rows.withColumns({n: F.col(n).try_cast("double") for n in numbers})
 
 
 def order_rows(table: DataFrame, date: str) -> DataFrame:
     """Orders of a day on placements from the floor upwards."""
-    rows = _parsed(table.where(F.col("p_date") == date), ORDER_NUMBERS, ORDER_TEXTS)
-    return rows.where(
-        F.col("_extra.rit").try_cast("bigint") >= PLACEMENT_FLOOR
-    ).select(
-        *[json_number(F.col("_feature"), n).alias(n) for n in ORDER_NUMBERS],
-        F.col("_extra.rit").alias("rit"),
-        F.col("_extra.req_id").alias("request_id"),
-        F.col("_extra.order_id").alias("order_id"),
-        F.col("_extra.union_imei").alias("uimei"),
+    day = table.where(F.col("p_date") == date)
+    rows = _unpacked(
+        day.select("p_date", "feature_json", "extra_json"), ORDER_NUMBERS, ORDER_TEXTS
+    )
+    return rows.where(F.col("rit").try_cast("bigint") >= PLACEMENT_FLOOR).select(
+        *ORDER_NUMBERS,
+        "rit",
+        F.col("req_id").alias("request_id"),
+        "order_id",
+        F.col("union_imei").alias("uimei"),
         "p_date",
     )
 
 
 def activation_rows(table: DataFrame, date: str, texts: Sequence[str]) -> DataFrame:
     """Activations of a day with stay time, baselines and retention day."""
-    rows = _parsed(table.where(F.col("date") == date), ACTIVATION_NUMBERS, texts)
-    return rows.select(
-        "date",
-        *[F.col(f"_extra.{n}").alias(n) for n in texts],
-        json_number(F.col("_extra"), "retention_day").alias("retention_day"),
-        *[json_number(F.col("_feature"), n).alias(n) for n in ACTIVATION_NUMBERS],
+    day = table.where(F.col("date") == date)
+    rows = _unpacked(
+        day.select("date", "feature_json", "extra_json"),
+        ACTIVATION_NUMBERS,
+        (*texts, "retention_day"),
     )
+    return rows.withColumn("retention_day", F.col("retention_day").try_cast("double"))
 
 
 def user_growth_rows(
