@@ -1,28 +1,29 @@
-"""Lookup joins. None carries a hint: Spark broadcasts a side whose size it has
-measured to be small and otherwise sorts, splitting skewed partitions."""
+"""Lookup joins of a log with a list; see `skew` for how hot keys are handled."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .skew import skew_join
+
 
 def flag_join(rows: DataFrame, listed: DataFrame, key: str, flag: str) -> DataFrame:
     """Add a 0/1 column: is the row's key on the list?"""
     keys = listed.select(F.col(key)).distinct().withColumn("_listed", F.lit(1))
-    return rows.join(keys, key, "left").select(
+    return skew_join(rows, keys, [key], "left").select(
         *rows.columns, F.coalesce("_listed", F.lit(0)).alias(flag)
     )
 
 
 def keep_listed(rows: DataFrame, listed: DataFrame, key: str) -> DataFrame:
     """Rows whose key is on the list, each once."""
-    return rows.join(listed.select(key), key, "left_semi").select(*rows.columns)
+    return skew_join(rows, listed.select(key), [key], "left_semi").select(*rows.columns)
 
 
 def drop_listed(rows: DataFrame, listed: DataFrame, key: str) -> DataFrame:
     """Rows whose key is not on the list; a NULL key stays."""
-    return rows.join(listed.select(key), key, "left_anti").select(*rows.columns)
+    return skew_join(rows, listed.select(key), [key], "left_anti").select(*rows.columns)
 
 
 def lowest_tag(tags: DataFrame, key: str, tag: str) -> DataFrame:
@@ -34,7 +35,7 @@ def tag_lookup(
     rows: DataFrame, tags: DataFrame, key: str, tag: str, flag: str
 ) -> DataFrame:
     """Add the lowest tag of the row's key, 0 if it has none."""
-    return rows.join(lowest_tag(tags, key, tag), key, "left").select(
+    return skew_join(rows, lowest_tag(tags, key, tag), [key], "left").select(
         *rows.columns, F.coalesce(F.col(tag), F.lit(0)).alias(flag)
     )
 

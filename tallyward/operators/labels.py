@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..constants import RETENTION_BUCKETS, STAY_SECONDS, TRUSTED_AMOUNT
 from .groups import check_schemas, explode_schemas, name_schemas, schema_columns
+from .skew import skew_join
 
 REQUEST = "request_id"
 DEVICE = "union_imei"
@@ -34,7 +35,7 @@ def _labelled_requests(
     if device:
         needed.add(device)
     needed = sorted(c for c in needed if c not in names)
-    joined = requests.select(REQUEST, *needed).join(tallies, REQUEST, "inner")
+    joined = skew_join(requests.select(REQUEST, *needed), tallies, [REQUEST], "inner")
     carried = {n: F.col(n) for n in names}
     if device:
         carried["_device"] = F.col(device)

@@ -24,6 +24,7 @@ from ..constants import BELOW_GRID, GRID_DECIMALS, MINED_BUCKETS, MISSING_FEATUR
 from ..functions.predicates import Condition, all_of, missing
 from ..functions.scalars import json_number, json_texts
 from .groups import GROUP_KEYS, check_schemas
+from .skew import skew_join
 
 
 # Cells are broadcast if the grid cannot have more of them than this.
@@ -390,8 +391,8 @@ def match_patterns(
     The rules' cells are widened to every cell that meets a rule, feature by
     feature; for the last feature the lowest threshold says it all. What is
     joined to the groups is bounded by the grid, whatever the number of rules;
-    beyond BROADCAST_CELLS it is joined by shuffling, where adaptive execution
-    splits cells that many groups share.
+    beyond BROADCAST_CELLS it is joined by shuffling, with the groups of cells
+    that many share spread out.
     """
     grids = grid_table(groups.sparkSession, strategies)
     width = _width(strategies)
@@ -420,13 +421,11 @@ def match_patterns(
     bound = sum(
         prod(d.most_points + 1 for d in s.grid[: width - 1]) for s in strategies
     )
-    if bound <= BROADCAST_CELLS:
-        hit = F.broadcast(hit)
     matched = (F.col(last) >= F.col("_from")) | ((F.col(last) == 0) & F.col("_below"))
-    return (
-        _cells(groups, grids, width)
-        .join(hit, ["group_schema", *inner])
-        .where(matched)
-        .select(*groups.columns)
-        .distinct()
-    )
+    placed = _cells(groups, grids, width)
+    keys = ["group_schema", *inner]
+    if bound <= BROADCAST_CELLS:
+        found = placed.join(F.broadcast(hit), keys)
+    else:
+        found = skew_join(placed, hit, keys, "inner", salted=True)
+    return found.where(matched).select(*groups.columns).distinct()

@@ -165,7 +165,7 @@ FEATURES = (
 )
 
 
-@pytest.mark.parametrize("share, floor", [(1.0, 10**9), (0.05, 0), (0.001, 0)])
+@pytest.mark.parametrize("share, floor", [(1.0, 10**9), (0.05, 0)])
 def test_chunks_do_not_change_the_result(skewed, share, floor):
     log = skewed.where("d IS NOT NULL")
     got = inter_arrival(log, ("d",), spec(*FEATURES), share, floor)
@@ -178,10 +178,7 @@ def test_chunks_do_not_change_the_result(skewed, share, floor):
     [
         "timestamp_seconds(t)",
         "date_add(DATE'2024-01-01', CAST(t AS INT))",
-        "CAST(timestamp_seconds(t) AS TIMESTAMP_NTZ)",
         "CAST(timestamp_seconds(1700000000 + t * 37) AS STRING)",
-        "lpad(CAST(t AS STRING), 12, '0')",
-        "CAST(t AS DECIMAL(20, 2))",
         "CAST(t AS STRING)",
     ],
 )
