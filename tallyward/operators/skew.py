@@ -14,6 +14,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from .features import quoted
 
 # Keys with more than this share of all rows are hot: at most 1 / HOT_SHARE keys.
 HOT_SHARE = 1 / 1_000
@@ -64,6 +67,10 @@ def hot_hashes(
     )
 
 
+def _holds_map(kind: T.DataType) -> bool:
+    return "map<" in kind.simpleString()
+
+
 def skew_join(
     rows: DataFrame,
     listed: DataFrame,
@@ -91,9 +98,11 @@ def skew_join(
     def marked(df: DataFrame) -> DataFrame:
         return df.withColumn("_hash", F.xxhash64(*keys)).join(hot, "_hash", "left")
 
-    # Dealing rows out in turn spreads even identical rows; which salt a row gets
-    # does not matter, as every salt has the key's list rows.
-    turn = (F.monotonically_increasing_id() % SALTS).cast("int")
+    # A row's salt depends on its content and on the task that reads it, not on
+    # the order of rows: a task that runs again deals them out the same way, and
+    # copies of one row still spread over the tasks that hold them.
+    content = [quoted(f.name) for f in rows.schema if not _holds_map(f.dataType)]
+    turn = F.pmod(F.xxhash64(*content) + F.spark_partition_id(), F.lit(SALTS)).cast("int")
     dealt = (
         marked(rows)
         .withColumn("_salt", F.when(F.col("_hot"), turn).otherwise(F.lit(0)))

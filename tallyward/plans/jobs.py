@@ -10,7 +10,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..functions.predicates import Condition
+from ..functions.predicates import Condition, all_of
 from ..operators.entity import FeatureGroup, entity_features
 from ..operators.groups import GroupSpec, group_features, to_feature_json
 from ..operators.labels import order_labels, retention_labels
@@ -31,6 +31,7 @@ from ..sources.tables import (
     read_group_features,
     read_performance,
     read_strategies,
+    staged,
     write_delimited,
 )
 
@@ -46,11 +47,25 @@ def run_entity_features(
     hours: int,
     version: str,
     path: str | None = None,
-) -> DataFrame:
-    """All feature kinds of a group as one long table."""
-    long = entity_features(source(date, hour, hours), group)
+    stage: bool = False,
+) -> DataFrame | None:
+    """All feature kinds of a group as one long table.
+
+    The job reads the log once per pass. With `stage`, a log that is costly to
+    make (joins, JSON) is written to the shared folder first and read from
+    there; the result is then only written, not returned.
+    """
+    log = source(date, hour, hours)
+    values = {"date": date, "hour": hour, "group": group.name, "version": version}
+    if stage:
+        if path is None:
+            raise ValueError("a staged job needs a path to write to")
+        with staged(log.where(all_of(group.where))) as kept:
+            long = entity_features(kept, group)
+            overwrite_kinds(long, path, values, "aggregator_type", group.kinds)
+        return None
+    long = entity_features(log, group)
     if path is not None:
-        values = {"date": date, "hour": hour, "group": group.name, "version": version}
         overwrite_kinds(long, path, values, "aggregator_type", group.kinds)
     return long
 

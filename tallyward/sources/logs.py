@@ -28,7 +28,7 @@ from ..functions.scalars import (
     json_texts,
     time_difference,
 )
-from ..operators.joins import cast_lookup, flag_join, keep_listed, tag_lookup
+from ..operators.joins import flag_join, keep_listed, tag_lookup
 from .columns import (
     BLACK_FLAG,
     CONVERT_EVENT_COLUMNS,
@@ -70,10 +70,10 @@ def risk_apps(
 
 
 def risk_packages(apps: DataFrame, sites: DataFrame, date: str) -> DataFrame:
-    """Distinct package names of risk apps."""
-    listed = sites.where(F.col("p_date") == date).select("site_id", "package_name")
-    found = cast_lookup(apps.select("app_id").distinct(), listed, "app_id", "site_id")
-    return found.select("package_name").distinct()
+    """Distinct package names of risk apps, whose text ids are cast to site ids."""
+    ids = apps.select(F.col("app_id").try_cast("bigint").alias("site_id"))
+    listed = sites.where(F.col("p_date") == date)
+    return listed.join(ids, "site_id", "left_semi").select("package_name").distinct()
 
 
 def black_requests(hits: DataFrame, date: str) -> DataFrame:

@@ -7,7 +7,10 @@ Spark guess it ("08" stays "08").
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping, Sequence
+import tempfile
+import uuid
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import reduce
 
@@ -164,6 +167,34 @@ def overwrite_kinds(
             overwrite_partition(empty, path, {k: at[k] for k in order})
 
 
+def _shared_folder(spark: SparkSession) -> str:
+    """The folder that the cluster names for checkpoints."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    return tempfile.mkdtemp(prefix="tallyward-")
+
+
+@contextmanager
+def staged(df: DataFrame) -> Iterator[DataFrame]:
+    """`df` written once as a columnar table, for jobs that read it several times.
+
+    The table lies in the cluster's shared folder, so what was computed survives
+    lost executors; it is dropped at the end.
+    """
+    spark = df.sparkSession
+    path = f"{_shared_folder(spark)}/stage-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.delete(place, True)
+
+
 def write_delimited(df: DataFrame, path: str) -> None:
     """Comma-separated text without a header."""
     df.write.mode("overwrite").csv(path, sep=",", header=False)

@@ -45,8 +45,10 @@ def test_entity_features_then_merge(spark, log, tmp_path):
         ),
     )
     table, text, wide_path = (str(tmp_path / n) for n in ("long", "text", "wide"))
-    for _ in range(2):
-        jobs.run_entity_features(lambda *window: log, group, DAY, "23", 24, "v1", table)
+    for stage in (False, True):
+        jobs.run_entity_features(
+            lambda *window: log, group, DAY, "23", 24, "v1", table, stage
+        )
     spec = jobs.MergeSpec(
         "devices",
         "union_imei",

@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import pytest
 
 from helpers import plan_of, rows
@@ -81,3 +83,13 @@ def test_delimited_output(spark, tmp_path):
     for _ in range(2):
         S.write_delimited(df, path)
     assert [r[0] for r in spark.read.text(path).collect()] == ["a,1.0,-1.0"]
+
+
+def test_staged_tables_lie_in_the_shared_folder_and_go_away(spark):
+    folder = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(folder.iterdir())
+    df = spark.range(5).selectExpr("id", "CAST(NULL AS STRING) AS t")
+    with S.staged(df) as kept:
+        assert len(set(folder.iterdir()) - before) == 1
+        assert rows(kept) == rows(df) and kept.columns == df.columns
+    assert set(folder.iterdir()) == before
