@@ -250,7 +250,9 @@ def _day_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return day_requests(request_log(spark, sf_dir).withColumn("p_date", F.lit(DAY)), DAY)
 
 
-def _ug(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _ug(
+    spark: SparkSession, sf_dir: str, requests: DataFrame | None = None
+) -> DataFrame:
     rows = user_growth_rows(
         activations(spark, sf_dir),
         make_money_apps(spark, sf_dir),
@@ -258,10 +260,13 @@ def _ug(spark: SparkSession, sf_dir: str) -> DataFrame:
         DAY,
         APP_NAMES,
     )
-    return retention_labels(rows, _day_requests(spark, sf_dir), SCHEMAS, "ug")
+    requests = requests or _day_requests(spark, sf_dir)
+    return retention_labels(rows, requests, SCHEMAS, "ug")
 
 
-def _game(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _game(
+    spark: SparkSession, sf_dir: str, requests: DataFrame | None = None
+) -> DataFrame:
     rows = game_rows(
         activations(spark, sf_dir),
         make_money_apps(spark, sf_dir),
@@ -269,12 +274,15 @@ def _game(spark: SparkSession, sf_dir: str) -> DataFrame:
         sites(spark, sf_dir),
         DAY,
     )
-    return retention_labels(rows, _day_requests(spark, sf_dir), SCHEMAS, "game")
+    requests = requests or _day_requests(spark, sf_dir)
+    return retention_labels(rows, requests, SCHEMAS, "game")
 
 
-def _ecom(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _ecom(
+    spark: SparkSession, sf_dir: str, requests: DataFrame | None = None
+) -> DataFrame:
     orders = order_rows(order_performance(spark, sf_dir), DAY)
-    return order_labels(orders, _day_requests(spark, sf_dir), SCHEMAS)
+    return order_labels(orders, requests or _day_requests(spark, sf_dir), SCHEMAS)
 
 
 def _settle_scales(df: DataFrame) -> DataFrame:
@@ -349,9 +357,10 @@ def group_request_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _performance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    requests = _day_requests(spark, sf_dir)
     return performance_join(
         to_feature_json(_request_groups(spark, sf_dir)),
-        *[to_feature_json(f(spark, sf_dir)) for f in (_game, _ug, _ecom)],
+        *[to_feature_json(f(spark, sf_dir, requests)) for f in (_game, _ug, _ecom)],
     )
 
 

@@ -93,8 +93,12 @@ def wide_to_long(
     )
 
 
+def _ranks(feature: Feature) -> bool:
+    return isinstance(feature, TopNRatio) and feature.n > 1
+
+
 def _aggregates(rows: DataFrame, entity: Entity) -> list[DataFrame]:
-    features = [f for f in entity.features if not isinstance(f, TopNRatio)]
+    features = [f for f in entity.features if not _ranks(f)]
     by = [f"_by{i}" for i in range(len(entity.dkey))]
     long = []
     for branch in plan_branches(features):
@@ -115,14 +119,15 @@ def _aggregates(rows: DataFrame, entity: Entity) -> list[DataFrame]:
 def entity_features(log: DataFrame, group: FeatureGroup) -> DataFrame:
     """All features of all entities of a group.
 
-    Kinds share passes over the log: plain and distinct features of an entity
-    take one, a further distinct key, top-n and each event order one more each.
+    Kinds share passes over the log: plain features, distinct features and top
+    keys of an entity take one; a further distinct key, top-n with n > 1 and each
+    event order add theirs.
     """
     rows = log.where(all_of(group.where))
     long: list[DataFrame] = []
     for entity in group.entities:
         long.extend(_aggregates(rows, entity))
-        tops = [f for f in entity.features if isinstance(f, TopNRatio)]
+        tops = [f for f in entity.features if _ranks(f)]
         if tops:
             wide = top_n_ratios(rows, entity.dkey, tops)
             long.append(

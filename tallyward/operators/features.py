@@ -173,9 +173,28 @@ class DistinctRatio(Keyed):
         return F.try_divide(merged[0], merged[1])
 
 
+def _hits_and_rows(where: Column) -> Column:
+    return F.struct(F.count_if(where).alias("hits"), F.count(F.lit(1)).alias("rows"))
+
+
+def _top_and_all(per_key: Column) -> Column:
+    """The most frequent key with its rows, and the rows of all keys that count."""
+    hits, rows = per_key["hits"], per_key["rows"]
+    ranked = F.struct(hits.alias("hits"), joined(["_key"]).alias("key"), rows.alias("rows"))
+    return F.struct(
+        F.max(F.when(hits > 0, ranked)).alias("top"),
+        F.sum(F.when(hits > 0, rows)).alias("all"),
+    )
+
+
 @dataclass(frozen=True, eq=False)
 class TopNRatio(Keyed):
-    """Share of rows that belong to the entity's `n` most frequent keys."""
+    """Share of rows that belong to the entity's `n` most frequent keys.
+
+    Keys rank by the number of rows that meet `where`, ties by the larger key; a
+    key with such rows weighs with all its rows. The top key alone is a maximum
+    and comes from the pre-aggregation by key; for more, see `topn`.
+    """
 
     n: int = 1
 
@@ -186,6 +205,14 @@ class TopNRatio(Keyed):
         if self.n < 1:
             raise ValueError(f"{self.name}: n must be at least 1")
 
+    def parts(self) -> list[Part]:
+        if self.n > 1:
+            raise ValueError(f"{self.name}: only the top key is an aggregate")
+        return [Part(all_of(self.where), _hits_and_rows, _top_and_all)]
+
+    def finish(self, *merged: Column) -> Column:
+        return F.try_divide(merged[0]["top"]["rows"], merged[0]["all"])
+
 
 def check_names(features: Sequence) -> None:
     names = [f.name for f in features]

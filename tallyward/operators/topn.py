@@ -18,9 +18,7 @@ def top_n_ratios(
 ) -> DataFrame:
     """(dval, fkey, fval): rows on the n most frequent keys over rows on all keys.
 
-    Keys rank by the number of rows that meet `where`, ties by the larger key;
-    a ranked key weighs with all its rows. Rows are counted per (entity, key)
-    first. The rank filter is a literal bound right above the window, so Spark
+    Rows are counted per (entity, key) first. The rank filter is a literal bound right above the window, so Spark
     keeps only the best keys of each task before it brings an entity together.
     """
     by_columns: dict[tuple[str, ...], list[TopNRatio]] = {}

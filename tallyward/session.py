@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import SparkSession
 
 # Adaptive execution resizes shuffles, splits skewed join partitions and turns
@@ -17,11 +19,25 @@ SETTINGS = {
 }
 
 
-def build_session(app_name: str = "tallyward", **extra: str) -> SparkSession:
-    """A session with SETTINGS; `extra` uses `__` for dots in setting names."""
+# Compressed input per shuffle partition. Jobs read few columns, so what is
+# shuffled is less; many more partitions would burden the driver.
+PARTITION_BYTES = 1024**3
+
+
+def shuffle_settings(input_bytes: int, cores: int = 1) -> dict[str, str]:
+    """Shuffle partitions for jobs over so many bytes of compressed input.
+
+    Adaptive execution merges partitions that turn out small.
+    """
+    partitions = max(200, 2 * cores, -(-input_bytes // PARTITION_BYTES))
+    return {"spark.sql.shuffle.partitions": str(partitions)}
+
+
+def build_session(
+    app_name: str = "tallyward", extra: Mapping[str, str] | None = None
+) -> SparkSession:
+    """A session with SETTINGS and, over them, `extra`."""
     builder = SparkSession.builder.appName(app_name)
-    for key, value in SETTINGS.items():
+    for key, value in {**SETTINGS, **(extra or {})}.items():
         builder = builder.config(key, value)
-    for key, value in extra.items():
-        builder = builder.config(key.replace("__", "."), value)
     return builder.getOrCreate()

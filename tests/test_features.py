@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import rows
+from helpers import plan_of, rows
 from tallyward.operators.entity import Entity, FeatureGroup, entity_features
 from tallyward.operators.features import (
     Count,
@@ -149,6 +149,27 @@ def test_top_n_breaks_ties_by_text(spark):
     assert two_keys[("d", "top1")] == pytest.approx(2 / 5)
 
 
+def test_top_key_from_aggregates_equals_ranking(spark):
+    from tallyward.operators.topn import top_n_ratios
+
+    log = spark.range(4000).selectExpr(
+        "CAST(sqrt(id) AS INT) % 40 AS d", "hash(id) % 7 AS k", "hash(id, 1) % 5 = 0 AS ok"
+    )
+    features = (TopNRatio("ok1", "ok", ("k",), 1), TopNRatio("all1", True, ("k",), 1))
+    ranked = {(r.dval, r.fkey): r.fval for r in top_n_ratios(log, ("d",), features).collect()}
+    assert values(log, *features) == ranked and len(ranked) == 80
+
+
+def test_a_top_key_needs_no_pass_of_its_own(log):
+    features = (
+        Count("all"),
+        DistinctCount("apps", columns=("app",)),
+        TopNRatio("top1", True, ("app",), 1),
+    )
+    df = entity_features(log, FeatureGroup("g", (Entity(("d",), features),)))
+    assert plan_of(df).count("Exchange hashpartitioning") == 2
+
+
 def test_two_top_n_features_on_different_keys(log):
     got = values(
         log, TopNRatio("app1", True, ("app",), 1), TopNRatio("n1", True, ("n",), 1), where="d = 'a'"

@@ -39,3 +39,14 @@ def test_filters_reach_the_scan(plans):
 def test_top_n_is_cut_before_entities_come_together(plans):
     assert "WindowGroupLimit" in plans["entity_top_n_ratio"]
     assert ", Partial" in plans["entity_top_n_ratio"]
+
+
+def test_shuffle_partitions_follow_the_input():
+    from tallyward.session import shuffle_settings
+
+    def partitions(*args):
+        return int(shuffle_settings(*args)["spark.sql.shuffle.partitions"])
+
+    assert partitions(10**6) == 200
+    assert partitions(10**6, 4000) == 8000
+    assert 90_000 < partitions(100 * 10**12) < 95_000
