@@ -147,7 +147,7 @@ def group_distinct_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
         LINE_SCHEMAS,
         f"""{settled_sql("avg(l_discount) FILTER (WHERE l_tax > 0.02)")} AS discount_avg,
         {settled_sql("stddev_pop(l_quantity)")} AS quantity_std,
-        quantile_disc(l_quantity, 0.9) AS quantity_p90,
+        quantile_disc(l_quantity, 0.87) AS quantity_p87,
         count(DISTINCT l_suppkey) AS suppliers""",
     ),
 )
@@ -155,7 +155,7 @@ def group_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     features = (
         Stat("discount_avg", "l_tax > 0.02", "avg", "l_discount"),
         Stat("quantity_std", True, "stddev_pop", "l_quantity"),
-        Percentile("quantity_p90", True, 0.9, "l_quantity"),
+        Percentile("quantity_p87", True, 0.87, "l_quantity"),
         DistinctCount("suppliers", columns=("l_suppkey",)),
     )
     wide = group_features(_lines(spark, sf_dir), GroupSpec("lines", LINE_SCHEMAS, features))

@@ -19,10 +19,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def epoch(name: str) -> Column:
+    """Seconds since 1970 of a timestamp without zone, in any session zone."""
+    return F.expr(f"timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {name})")
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events with epoch seconds."""
-    moment = F.col("ts").cast("timestamp")
-    return table(spark, sf_dir, "events").withColumn("sec", F.unix_seconds(moment))
+    return table(spark, sf_dir, "events").withColumn("sec", epoch("ts"))
 
 
 def _k() -> Column:

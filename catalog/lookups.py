@@ -41,6 +41,7 @@ from .inputs import (
     REQUEST_SQL,
     app_status,
     black_hits,
+    epoch,
     events,
     hourly,
     make_money_apps,
@@ -152,9 +153,6 @@ FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey
 """,
 )
 def time_diffs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    def seconds(name: str):
-        return F.unix_seconds(F.col(name).cast("timestamp"))
-
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_shipdate", "l_extendedprice"
     )
@@ -163,7 +161,7 @@ def time_diffs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select(
         "l_orderkey",
         "l_linenumber",
-        time_difference(seconds("l_shipdate"), seconds("o_orderdate")).alias("ship_order_tdiff"),
+        time_difference(epoch("l_shipdate"), epoch("o_orderdate")).alias("ship_order_tdiff"),
         (F.col("l_extendedprice") / 100000 / 0.1).cast("bigint").alias("tenth_bin"),
     )
 

@@ -5,21 +5,28 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.predicates import all_of
 from ..functions.scalars import joined
 from .features import TopNRatio, key_column
 
+# Up to this n, Spark cuts the ranking in every task; it is the default of
+# spark.sql.optimizer.windowGroupLimitThreshold. Beyond, keys are ranked in
+# slices of the entity first: the n best are among the n best of each slice.
+GROUP_LIMIT = 1000
+SLICES = 256
+
 
 def top_n_ratios(
     rows: DataFrame, dkey: Sequence[str], features: Sequence[TopNRatio]
 ) -> DataFrame:
     """(dval, fkey, fval): rows on the n most frequent keys over rows on all keys.
 
-    Rows are counted per (entity, key) first. The rank filter is a literal bound right above the window, so Spark
-    keeps only the best keys of each task before it brings an entity together.
+    Rows are counted per (entity, key) first. The rank filter is a literal bound
+    right above the window, so Spark keeps only the best keys of each task before
+    it brings an entity together.
     """
     by_columns: dict[tuple[str, ...], list[TopNRatio]] = {}
     for feature in features:
@@ -28,6 +35,15 @@ def top_n_ratios(
     return reduce(DataFrame.unionByName, parts)
 
 
+def _leading(counted: DataFrame, most: int, *within: Column) -> DataFrame:
+    """Keys that rank up to `most` in their entity, or in their slice of it."""
+    order = Window.partitionBy("_by", "_feature", *within).orderBy(
+        F.col("_hits").desc(), F.col("_key").desc()
+    )
+    ranked = counted.withColumn("_rank", F.dense_rank().over(order))
+    return ranked.where(F.col("_rank") <= most)
+
+
 def _for_key(
     rows: DataFrame,
     dkey: Sequence[str],
@@ -63,16 +79,18 @@ def _for_key(
             ),
         )
     )
-    order = Window.partitionBy("_by", "_feature").orderBy(
-        F.col("_hits").desc(), F.col("_key").desc()
-    )
+    most = max(f.n for f in features)
+    best = counted.where(F.col("_hits") > 0)
+    if most > GROUP_LIMIT:
+        best = _leading(best, most, F.pmod(F.xxhash64("_key"), F.lit(SLICES)))
     top = (
-        counted.where(F.col("_hits") > 0)
-        .withColumn("_rank", F.dense_rank().over(order))
-        .where(F.col("_rank") <= max(f.n for f in features))
+        _leading(best, most)
         .where(F.col("_rank") <= F.col("_n"))
         .select(
-            "_by", "_feature", F.col("_rows").alias("_top"), F.lit(0).cast("long").alias("_all")
+            "_by",
+            "_feature",
+            F.col("_rows").alias("_top"),
+            F.lit(0).cast("long").alias("_all"),
         )
     )
     total = counted.select(

@@ -160,6 +160,16 @@ def test_top_key_from_aggregates_equals_ranking(spark):
     assert values(log, *features) == ranked and len(ranked) == 80
 
 
+def test_ranking_in_slices_changes_nothing(spark, monkeypatch):
+    from tallyward.operators import topn
+
+    log = spark.range(5000).selectExpr("id % 3 AS d", "hash(id) % 200 AS k")
+    features = (TopNRatio("top5", True, ("k",), 5), TopNRatio("top50", True, ("k",), 50))
+    whole = values(log, *features)
+    monkeypatch.setattr(topn, "GROUP_LIMIT", 1)
+    assert values(log, *features) == whole and len(whole) == 6
+
+
 def test_a_top_key_needs_no_pass_of_its_own(log):
     features = (
         Count("all"),
