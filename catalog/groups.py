@@ -30,6 +30,13 @@ from tallyward.operators.rules import (
     performance_join,
     strategies_json,
 )
+from tallyward.plans.specs import (
+    BLOCKED,
+    ON_BLACK_LIST,
+    RESOURCE_V4,
+    SEVEN_DAYS,
+    THREE_DAYS,
+)
 from tallyward.sources.logs import day_requests, requests_flagged
 from tallyward.sources.performance import game_rows, order_rows, user_growth_rows
 
@@ -333,12 +340,14 @@ FEATURES_SQL = _patterns_sql(
 )
 
 
-def _request_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _flagged_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     hits = black_hits(spark, sf_dir).withColumn("p_date", F.lit(LAST_DAY))
-    log = requests_flagged(
-        request_log(spark, sf_dir), hits, LAST_DAY, LAST_HOUR, ALL_HOURS
-    )
-    return group_features(log, REQUEST_GROUP)
+    log = request_log(spark, sf_dir)
+    return requests_flagged(log, hits, LAST_DAY, LAST_HOUR, ALL_HOURS)
+
+
+def _request_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return group_features(_flagged_requests(spark, sf_dir), REQUEST_GROUP)
 
 
 @query(
@@ -356,6 +365,36 @@ def group_request_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return settle(_request_groups(spark, sf_dir), *names)
 
 
+_REQUEST_KNOWN = "site_id city_id device_model os_type ip ipc rit".split()
+
+
+def _all_schemas_sql() -> str:
+    columns = {c for s in RESOURCE_V4.schemas for c in s.split(",")}
+    empty = ", ".join(
+        f"CAST(NULL AS VARCHAR) AS {c}" for c in sorted(columns - set(_REQUEST_KNOWN))
+    )
+    rows = f"""SELECT r.*, {empty},
+    CASE WHEN b.request_id IS NOT NULL THEN 1 ELSE 0 END AS hit_black_device_flag
+    FROM ({REQUEST_SQL}) r LEFT JOIN ({BLACK_SQL}) b ON r.request_id = b.request_id
+    WHERE ad_source = 1"""
+    shares = {
+        "3d_new_uimei_ratio": THREE_DAYS,
+        "7d_new_uimei_ratio": SEVEN_DAYS,
+        "black_uimei_ratio": ON_BLACK_LIST,
+        "block_uimei_ratio": BLOCKED,
+    }
+    shown = ", ".join(f'{settled_sql(_distinct_share(t))} AS "{n}"' for n, t in shares.items())
+    counts = "count(DISTINCT union_imei) AS uimei_distinct_cnt, count(*) AS req_cnt"
+    return _patterns_sql(rows, RESOURCE_V4.schemas, f"{counts}, {shown}")
+
+
+@query("group_request_all_schemas", _all_schemas_sql())
+def group_request_all_schemas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ready-made spec with seventeen schemas."""
+    wide = group_features(_flagged_requests(spark, sf_dir), RESOURCE_V4)
+    return settle(wide, *[f.name for f in RESOURCE_V4.features if f.kind == "distinct_ratio"])
+
+
 def _performance(spark: SparkSession, sf_dir: str) -> DataFrame:
     requests = _day_requests(spark, sf_dir)
     return performance_join(

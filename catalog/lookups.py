@@ -13,6 +13,7 @@ from tallyward.functions.scalars import (
     time_difference,
     transform,
 )
+from tallyward.operators.entity import entity_features
 from tallyward.operators.joins import (
     cast_lookup,
     drop_listed,
@@ -20,6 +21,7 @@ from tallyward.operators.joins import (
     keep_listed,
     tag_lookup,
 )
+from tallyward.plans.specs import DEVICE_CONVERT
 from tallyward.sources.columns import CONVERT_WIDE_COLUMNS
 from tallyward.sources.logs import (
     convert_events,
@@ -278,7 +280,7 @@ def _ad_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
         {
             "advertiser_id": F.col("event_id"),
             "app_id": user,
-            "union_uuid": F.concat(F.lit("u"), user),
+            "union_uuid": F.concat(F.lit("u"), user % 60),
             "biz_line": F.when(F.col("value") > 2, "union").otherwise("feed"),
             "rit": F.lit(800000000) + user,
             "label": F.when(F.col("event_type") == "view", "click").otherwise("convert"),
@@ -303,10 +305,9 @@ def _ad_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_empty(known, rest)
 
 
-@query(
-    "source_convert_events",
-    f"""
-SELECT event_id AS advertiser_id, user_id AS app_id, 'u' || CAST(user_id AS VARCHAR) AS union_imei,
+_CONVERT_SQL = """
+SELECT event_id AS advertiser_id, user_id AS app_id,
+       'u' || CAST(user_id % 60 AS VARCHAR) AS union_imei,
        coalesce(t.app_type, 0) AS app_flag,
        '10.' || CAST(user_id % 256 AS VARCHAR) || '.' || CAST(user_id % 7 AS VARCHAR) || '.9' AS ip,
        '10.' || CAST(user_id % 256 AS VARCHAR) || '.' || CAST(user_id % 7 AS VARCHAR) AS ipc,
@@ -317,7 +318,7 @@ SELECT event_id AS advertiser_id, user_id AS app_id, 'u' || CAST(user_id AS VARC
        CASE WHEN event_type <> 'click' THEN CAST(60 AS BIGINT) END AS click_send_tdiff,
        CAST(30 AS BIGINT) AS convert_click_tdiff,
        CASE WHEN event_type <> 'click' THEN CAST(90 AS BIGINT) END AS convert_send_tdiff,
-       {settled_sql("ecpm / 100000")} AS ecpm_rmb,
+       ecpm / 100000 AS ecpm_rmb,
        CAST(trunc(ecpm / 100000 / 100) AS BIGINT) * 100 AS ecpm_bin,
        strftime(ts, '%Y%m%d') AS date, strftime(ts, '%H') AS hour
 FROM (SELECT *, CAST(epoch_us(ts) // 1000000 AS BIGINT) AS sec,
@@ -330,24 +331,32 @@ LEFT JOIN (
     WHERE c_acctbal > 0 AND c_nationkey + 10 IN (12, 42, 10003, 10004, 10005))
   GROUP BY app_id) t ON e.user_id = t.app_id
 WHERE value > 2 AND user_id > 0 AND event_type <> 'view'
-  AND user_id IN (SELECT c_custkey FROM customer WHERE c_mktsegment <> 'BUILDING')
-""",
-)
-def source_convert_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+  AND user_id % 60 IN (SELECT c_custkey FROM customer WHERE c_mktsegment <> 'BUILDING')
+"""
+
+
+def _converts(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer")
     devices = customer.where(F.col("c_mktsegment") != "BUILDING").select(
         F.concat(F.lit("u"), F.col("c_custkey")).alias("union_imei"),
         F.lit(LAST_DAY).alias("p_date"),
         F.lit(LAST_HOUR).alias("hour"),
     )
-    rows = convert_events(
+    return convert_events(
         _ad_stats(spark, sf_dir),
         devices,
         make_money_apps(spark, sf_dir).withColumn("date", F.lit(LAST_DAY)),
         app_status(spark, sf_dir).withColumn("p_date", F.lit(LAST_DAY)),
         *_WINDOW,
     )
-    shown = rows.select(
+
+
+@query(
+    "source_convert_events",
+    f"SELECT * REPLACE ({settled_sql('ecpm_rmb')} AS ecpm_rmb) FROM ({_CONVERT_SQL})",
+)
+def source_convert_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shown = _converts(spark, sf_dir).select(
         "advertiser_id", "app_id", "union_imei", "app_flag", "ip", "ipc", "ipb",
         "device_model", "room_id", "click_time_timestamp", "at_time_timestamp",
         "send_time_timestamp", "click_send_tdiff", "convert_click_tdiff",
@@ -356,6 +365,53 @@ def source_convert_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return settle(shown, "ecpm_rmb").withColumn("ecpm_bin", F.col("ecpm_bin").cast("bigint"))
 
 
+def _device_sql() -> str:
+    """All kinds of the device spec, the steps between events from a window."""
+    known = "app_id <> 0 AND app_id <> -1"
+    top = f"""
+SELECT union_imei, sum(n) FILTER (WHERE rk = 1) / CAST(sum(n) AS DOUBLE) AS share FROM (
+  SELECT union_imei, n, dense_rank() OVER (PARTITION BY union_imei ORDER BY n DESC, key DESC) AS rk
+  FROM (SELECT union_imei, CAST(app_id AS VARCHAR) AS key, count(*) AS n
+        FROM ({_CONVERT_SQL}) WHERE {known} GROUP BY union_imei, app_id))
+GROUP BY union_imei
+"""
+    steps = f"""
+SELECT union_imei, avg(iat) AS iat_avg, stddev_pop(iat) AS iat_std,
+       count(*) FILTER (WHERE iat <= 30) / CAST(count(*) AS DOUBLE) AS iat_short
+FROM (SELECT union_imei, least(3600, lead(at_time_timestamp) OVER (
+        PARTITION BY union_imei ORDER BY at_time_timestamp) - at_time_timestamp) AS iat,
+        lead(at_time_timestamp) OVER (PARTITION BY union_imei ORDER BY at_time_timestamp) AS following
+      FROM ({_CONVERT_SQL})) WHERE following IS NOT NULL
+GROUP BY union_imei
+"""
+    plain = f"""
+SELECT union_imei, count(DISTINCT app_id) FILTER (WHERE {known}) AS apps, count(*) AS converts,
+       count(*) FILTER (WHERE app_flag IN (12, 42)) / CAST(count(*) AS DOUBLE) AS risk,
+       avg(least(ecpm_rmb, 5000)) FILTER (WHERE ecpm_rmb > 0) AS ecpm
+FROM ({_CONVERT_SQL}) GROUP BY union_imei
+"""
+    features = (
+        ("distinct_count", "device_all_app_distinct_cnt", "apps", plain),
+        ("count", "device_all_convert_cnt", "converts", plain),
+        ("ratio", "device_all_app_risk_ratio", "risk", plain),
+        ("top_n_ratio", "device_all_app_top1_ratio", "share", top),
+        ("stats", "device_all_ecpm_rmb_avg", "ecpm", plain),
+        ("iat", "device_all_iat_avg", "iat_avg", steps),
+        ("iat", "device_all_iat_std", "iat_std", steps),
+        ("iat", "device_all_iat_le30s_ratio", "iat_short", steps),
+    )
+    return " UNION ALL ".join(
+        f"SELECT '{kind}' AS aggregator_type, 'union_imei' AS dkey, union_imei AS dval, "
+        f"'{name}' AS fkey, {settled_sql(column)} AS fval FROM ({source})"
+        for kind, name, column, source in features
+    )
+
+
+@query("device_convert_features", _device_sql())
+def device_convert_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return settle(entity_features(_converts(spark, sf_dir), DEVICE_CONVERT), "fval")
+
+
 @query("source_risk_apps", APPS_SQL)
 def source_risk_apps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return risk_apps(make_money_apps(spark, sf_dir), app_status(spark, sf_dir), DAY, (12, 42))
