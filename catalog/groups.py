@@ -395,10 +395,14 @@ def group_request_all_schemas(spark: SparkSession, sf_dir: str) -> DataFrame:
     return settle(wide, *[f.name for f in RESOURCE_V4.features if f.kind == "distinct_ratio"])
 
 
-def _performance(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _performance(
+    spark: SparkSession, sf_dir: str, groups: DataFrame | None = None
+) -> DataFrame:
     requests = _day_requests(spark, sf_dir)
+    if groups is None:
+        groups = to_feature_json(_request_groups(spark, sf_dir))
     return performance_join(
-        to_feature_json(_request_groups(spark, sf_dir)),
+        groups,
         *[to_feature_json(f(spark, sf_dir, requests)) for f in (_game, _ug, _ecom)],
     )
 
@@ -585,9 +589,9 @@ ON p.group_schema = s.group_schema AND p.rule_condition = s.rule_condition
 """,
 )
 def pattern_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = to_feature_json(_request_groups(spark, sf_dir))
     table_form = strategies_json(
-        mine_strategies(_performance(spark, sf_dir), STRATEGIES)
+        mine_strategies(_performance(spark, sf_dir, groups), STRATEGIES)
     )
-    groups = to_feature_json(_request_groups(spark, sf_dir))
     matched = match_patterns(groups, good_rules(table_form, TARGETS), STRATEGIES)
     return matched.select("group_schema", "group_pattern")
