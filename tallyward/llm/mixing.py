@@ -143,9 +143,11 @@ def draw_slots(
         F.coalesce(F.sum("_slots").over(ahead), _long(0)).alias("_ahead"),
         F.sum("_slots").over(Window.partitionBy()).alias("_total"),
     ).where("_slots > 0")
+    # Rows are few and small here but grow PIECE_SLOTS-fold, so they are not merged.
+    tasks = int(targets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     pieces = per.withColumn(
         "_piece", F.explode(F.sequence(_long(0), F.floor((F.col("_slots") - 1) / PIECE_SLOTS).cast("bigint")))
-    ).repartition("source_no", "_piece")
+    ).repartition(tasks, "source_no", "_piece")
     first = F.col("_piece") * PIECE_SLOTS
     slots = pieces.withColumn(
         "_k", F.explode(F.sequence(first, F.least(first + PIECE_SLOTS, F.col("_slots")) - 1))
@@ -196,12 +198,14 @@ def mixed_words(
         "_words", F.least(end, low + block_words) - F.greatest(F.col("start"), low)
     )
     taken = (
-        held.join(times, ["source_no", "block"])
+        held.join(times.hint("merge"), ["source_no", "block"])
         .groupBy("source_no", "start")
         .agg(F.sum(F.col("_words") * F.col("_times")).alias("taken"))
     )
+    # Spark takes the slots for as few as the sources they are made from and would
+    # broadcast them; they are as many as the blocks.
     # Rows without words share their start with another row but take nothing.
-    found = placed.where("size > 0").join(taken, ["source_no", "start"], "left")
+    found = placed.where("size > 0").join(taken.hint("merge"), ["source_no", "start"], "left")
     found = found.select("doc_id", "source_no", "size", F.coalesce("taken", _long(0)).alias("taken"))
     rest = placed.where("size = 0").select("doc_id", "source_no", "size", _long(0).alias("taken"))
     plan = F.broadcast(targets.select("source_no", "source", "source_size", "target"))

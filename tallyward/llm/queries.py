@@ -74,3 +74,28 @@ def op7_pack_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     name = "byte_bpe_50k.json"
     return pack_documents(table(spark, sf_dir, "documents"), name, tokenizer_path(name), end_id=0)
+
+
+@query("op10_language")
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from those that are not held out."""
+    from .language import fit, predict
+
+    docs = table(spark, sf_dir, "documents")
+    return predict(docs, fit(docs))
+
+
+@query("op5_minhash")
+def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near duplicates of every document by shingles of three words."""
+    from .minhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)
+
+
+@query("op2_near_vectors")
+def op2_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of embeddings with a cosine of at least 0.9, as links per vector and classes."""
+    from .vectors import near_vectors
+
+    return near_vectors(table(spark, sf_dir, "embeddings"), 0.9)
