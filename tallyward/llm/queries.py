@@ -99,3 +99,19 @@ def op2_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .vectors import near_vectors
 
     return near_vectors(table(spark, sf_dir, "embeddings"), 0.9)
+
+
+@query("op8_fingerprints")
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text."""
+    from .fingerprints import fingerprints
+
+    return fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query("op4_secrets")
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document."""
+    from .secrets import secret_report
+
+    return secret_report(table(spark, sf_dir, "documents"))
