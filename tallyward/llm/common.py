@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import re
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +17,14 @@ WORD = r"[^\x20\x09-\x0D]+"
 _own_folder: list[str] = []
 
 
+def reach(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it."""
+    root, environment = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    known = environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        environment["PYTHONPATH"] = os.pathsep.join(x for x in (root, known) if x)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share, from spark.checkpoint.dir.
 

@@ -141,31 +141,38 @@ def fit(docs: DataFrame, per_lang: int = PER_LANG, landmarks: int = LANDMARKS) -
     return Model(marks.astype(np.float32), weights, langs)
 
 
+def scored(model: Model | None, texts: pa.Array, lettered: np.ndarray):
+    """Names and scores of texts, in blocks of ROWS."""
+    names: list[str] = [UNKNOWN] * len(texts)
+    scores = np.zeros(len(texts))
+    if model is None:
+        return names, scores
+    for at, data, bounds in runs(texts, 1_000_000):
+        for low in range(0, len(bounds) - 1, ROWS):
+            part = bounds[low : low + ROWS + 1]
+            sets = feature_sets(data[part[0] : part[-1]], part - part[0])
+            value = unit_rows(sets) @ model.landmarks.T @ model.weights
+            best = value.argmax(axis=1)
+            top = np.clip((value.max(axis=1) + 1) / 2, 0.0, 1.0)
+            for k, (lang, sure) in enumerate(zip(best.tolist(), top.tolist()), at + low):
+                if lettered[k]:
+                    names[k], scores[k] = model.langs[lang], sure
+    return names, scores
+
+
+def _lettered() -> F.Column:
+    return F.coalesce(F.col("text").rlike(LETTER), F.lit(False))
+
+
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     """doc_id, held_out, lang_pred and score (0 to 1) of every row."""
-    spark = docs.sparkSession
     # Landmarks and weights: some megabytes, whatever the table.
-    sent = spark.sparkContext.broadcast(model)
+    sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = sent.value
         for batch in batches:
             lettered = np.array(batch.column(3).to_pylist(), dtype=bool)
-            names: list[str] = [UNKNOWN] * batch.num_rows
-            scores = np.zeros(batch.num_rows)
-            if model is not None:
-                for at, data, bounds in runs(batch.column(2), 1_000_000):
-                    for low in range(0, len(bounds) - 1, ROWS):
-                        part = bounds[low : low + ROWS + 1]
-                        sets = feature_sets(data[part[0] : part[-1]], part - part[0])
-                        near = unit_rows(sets) @ model.landmarks.T
-                        value = near @ model.weights
-                        best = value.argmax(axis=1)
-                        top = np.clip((value.max(axis=1) + 1) / 2, 0.0, 1.0)
-                        for k, (lang, sure) in enumerate(zip(best.tolist(), top.tolist())):
-                            if lettered[at + low + k]:
-                                names[at + low + k] = model.langs[lang]
-                                scores[at + low + k] = sure
+            names, scores = scored(sent.value, batch.column(2), lettered)
             yield pa.record_batch(
                 [batch.column(0), batch.column(1), pa.array(names, pa.string()), pa.array(scores)],
                 names=["doc_id", "held_out", "lang_pred", "score"],
@@ -175,6 +182,23 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
         F.col("doc_id").cast("bigint").alias("doc_id"),
         held_out().alias("held_out"),
         "text",
-        F.coalesce(F.col("text").rlike(LETTER), F.lit(False)).alias("_lettered"),
+        _lettered().alias("_lettered"),
     )
     return rows.mapInArrow(score, "doc_id bigint, held_out boolean, lang_pred string, score double")
+
+
+def in_known_language(docs: DataFrame, model: Model | None, least: float) -> DataFrame:
+    """The rows of docs whose language is told with a score of `least` or more."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index("text")
+
+    def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lettered = np.array(batch.column(batch.num_columns - 1).to_pylist(), dtype=bool)
+            names, scores = scored(sent.value, batch.column(at), lettered)
+            kept = (np.array(names) != UNKNOWN) & (scores >= least)
+            rows = batch.filter(pa.array(kept))
+            yield pa.record_batch(rows.columns[:-1], names=docs_columns)
+
+    docs_columns = docs.columns
+    return docs.select("*", _lettered().alias("_lettered")).mapInArrow(sift, docs.schema)

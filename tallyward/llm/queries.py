@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 from functools import wraps
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
+
+from .common import reach
+from .licences import scan_sql
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -17,19 +20,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _reach(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver has it."""
-    root, environment = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
-    known = environment.get("PYTHONPATH", "")
-    if root not in known.split(os.pathsep):
-        environment["PYTHONPATH"] = os.pathsep.join(x for x in (root, known) if x)
-
-
 def query(name: str, sql: str | None = None):
     def register(function):
         @wraps(function)
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            _reach(spark)
+            reach(spark)
             return function(spark, sf_dir)
 
         QUERIES[name] = run
@@ -115,3 +110,25 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .secrets import secret_report
 
     return secret_report(table(spark, sf_dir, "documents"))
+
+
+@query("op6_line_dedup")
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of every document that repeat an earlier one, exactly or nearly."""
+    from .lines import line_report
+
+    return line_report(table(spark, sf_dir, "documents"))
+
+
+@query("op1_licences", scan_sql())
+def op1_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences of every document, as a whole and of its lines."""
+    from .licences import scan_licences
+
+    return scan_licences(table(spark, sf_dir, "documents"))
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages of the corpus pipeline over the documents."""
+    return corpus_pipeline.run(spark, sf_dir)
