@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,7 +62,7 @@ from .inputs import (
     sites,
     table,
 )
-from .registry import query, settle, settled_sql
+from .registry import ORACLE, SALTED, query, settle, settled_sql
 
 LINE_SCHEMAS = ("l_returnflag,p_brand", "p_brand,o_orderpriority", "l_linestatus")
 LINES_SQL = """
@@ -209,12 +211,15 @@ ORDER_SCHEMAS = ("l_returnflag,l_suppkey", "l_linestatus", "l_returnflag,l_linen
         _order_columns_sql(),
     ),
 )
-def label_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def label_orders(spark: SparkSession, sf_dir: str, **skew: float | bool) -> DataFrame:
     orders = order_rows(order_performance(spark, sf_dir), DAY)
     requests = table(spark, sf_dir, "lineitem").withColumn(
         "request_id", F.col("l_orderkey").cast("string")
     )
-    return settle(order_labels(orders, requests, ORDER_SCHEMAS), *ORDER_METRICS)
+    return settle(order_labels(orders, requests, ORDER_SCHEMAS, **skew), *ORDER_METRICS)
+
+
+query("label_orders_salted", ORACLE["label_orders"])(partial(label_orders, **SALTED))
 
 
 SCHEMAS = ("site_id", "city_id,device_model", "site_id,os_type,device_model")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,7 +54,7 @@ from .inputs import (
     table,
     with_empty,
 )
-from .registry import query, settle, settled, settled_sql
+from .registry import ORACLE, SALTED, query, settle, settled, settled_sql
 
 
 @query(
@@ -65,11 +67,11 @@ FROM lineitem l LEFT JOIN
 ON l.l_orderkey = o.o_orderkey
 """,
 )
-def flagged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def flagged_lines(spark: SparkSession, sf_dir: str, **skew: float | bool) -> DataFrame:
     urgent = table(spark, sf_dir, "orders").where(F.col("o_orderpriority") == "1-URGENT")
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
     keys = urgent.select(F.col("o_orderkey").alias("l_orderkey"))
-    return flag_join(lines, keys, "l_orderkey", "urgent_flag")
+    return flag_join(lines, keys, "l_orderkey", "urgent_flag", **skew)
 
 
 @query(
@@ -85,7 +87,7 @@ FROM orders LEFT JOIN (
 ON o_custkey = t.key
 """,
 )
-def min_tag(spark: SparkSession, sf_dir: str) -> DataFrame:
+def min_tag(spark: SparkSession, sf_dir: str, **skew: float | bool) -> DataFrame:
     customer = table(spark, sf_dir, "customer")
     key = F.col("c_custkey").alias("o_custkey")
     tags = (
@@ -99,7 +101,7 @@ def min_tag(spark: SparkSession, sf_dir: str) -> DataFrame:
         .distinct()
     )
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    return tag_lookup(orders, tags, "o_custkey", "tag", "app_flag")
+    return tag_lookup(orders, tags, "o_custkey", "tag", "app_flag", **skew)
 
 
 def _segment(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,18 +118,18 @@ _IN_SEGMENT = "(SELECT c_custkey FROM customer WHERE c_mktsegment = 'MACHINERY')
     "semi_join_filter",
     f"SELECT o_orderkey, o_custkey, o_orderstatus FROM orders WHERE o_custkey IN {_IN_SEGMENT}",
 )
-def semi(spark: SparkSession, sf_dir: str) -> DataFrame:
+def semi(spark: SparkSession, sf_dir: str, **skew: float | bool) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
-    return keep_listed(orders, _segment(spark, sf_dir), "o_custkey")
+    return keep_listed(orders, _segment(spark, sf_dir), "o_custkey", **skew)
 
 
 @query(
     "anti_join_filter",
     f"SELECT o_orderkey, o_custkey, o_orderstatus FROM orders WHERE o_custkey NOT IN {_IN_SEGMENT}",
 )
-def anti(spark: SparkSession, sf_dir: str) -> DataFrame:
+def anti(spark: SparkSession, sf_dir: str, **skew: float | bool) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
-    return drop_listed(orders, _segment(spark, sf_dir), "o_custkey")
+    return drop_listed(orders, _segment(spark, sf_dir), "o_custkey", **skew)
 
 
 @query(
@@ -137,14 +139,25 @@ SELECT s_suppkey, CASE WHEN s_acctbal < 0 THEN 'none' ELSE CAST(s_nationkey AS V
 FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE s_acctbal >= 0
 """,
 )
-def cast_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+def cast_join(spark: SparkSession, sf_dir: str, **skew: float | bool) -> DataFrame:
     text = F.when(F.col("s_acctbal") < 0, "none").otherwise(F.col("s_nationkey").cast("string"))
     suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", text.alias("nation_text"))
     nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    joined = cast_lookup(suppliers, nations, "nation_text", "n_nationkey")
+    joined = cast_lookup(suppliers, nations, "nation_text", "n_nationkey", **skew)
     return joined.select("s_suppkey", "nation_text", "n_name")
 
 
+# The same joins as they run beside lists too large to broadcast.
+for _name, _plain, _function in (
+    ("flag_join_salted", "flag_join", flagged_lines),
+    ("tag_lookup_salted", "min_tag_lookup", min_tag),
+    ("semi_join_salted", "semi_join_filter", semi),
+    ("anti_join_salted", "anti_join_filter", anti),
+    ("cast_lookup_salted", "cast_lookup_join", cast_join),
+):
+    query(_name, ORACLE[_plain])(partial(_function, **SALTED))
+
+
 @query(
     "time_diffs",
     """

@@ -5,8 +5,9 @@ from __future__ import annotations
 from functools import reduce
 from typing import Union
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 Condition = Union[Column, str, bool]
 Value = Union[Column, str, int, float]
@@ -64,6 +65,21 @@ def trailing_window(
     )
 
 
+def in_window(
+    df: DataFrame,
+    date: str,
+    hour: str,
+    hours: int,
+    date_col: str = "date",
+    hour_col: str = "hour",
+) -> DataFrame:
+    """Rows of a trailing window; a day column that cannot read yyyyMMdd is an error."""
+    kind = df.schema[date_col].dataType
+    if not isinstance(kind, (T.StringType, T.IntegralType)):
+        raise ValueError(f"{date_col} is {kind.simpleString()}, not a text or number like yyyyMMdd")
+    return df.where(trailing_window(date, hour, hours, date_col, hour_col))
+
+
 def missing(column: Column) -> Column:
     """NULL or empty text."""
     return column.isNull() | (column == "")

@@ -25,7 +25,6 @@ from .iat import InterArrival, inter_arrival
 from .topn import top_n_ratios
 
 KINDS = ("count", "distinct_count", "ratio", "stats", "top_n_ratio", "iat")
-LONG_COLUMNS = ("aggregator_type", "dkey", "dval", "fkey", "fval")
 
 
 @dataclass(frozen=True, eq=False)

@@ -77,6 +77,21 @@ class Ratio(Feature):
         return F.try_divide(merged[0], merged[1])
 
 
+# Aggregates with a state of fixed size. Others, such as lists or exact medians,
+# would hold a whole group in memory.
+BOUNDED = (
+    "avg mean count sum min max std stddev stddev_pop stddev_samp"
+    " var_pop var_samp variance skewness kurtosis"
+).split()
+
+
+def bounded_function(name: str) -> str:
+    """The aggregate's name in lower case, if its state has a fixed size."""
+    if name.lower() not in BOUNDED:
+        raise ValueError(f"unknown aggregate {name!r}; known: {BOUNDED}")
+    return name.lower()
+
+
 @dataclass(frozen=True, eq=False)
 class Stat(Feature):
     """A named aggregate of a value, clipped at `clip` if one is given."""
@@ -89,7 +104,7 @@ class Stat(Feature):
 
     def parts(self) -> list[Part]:
         picked = F.when(all_of(self.where), clip_top(value(self.column), self.clip))
-        func = self.func.lower()
+        func = bounded_function(self.func)
         if func in ("avg", "mean"):
             number = picked.cast("double")
             return [Part(number, F.sum, F.sum), Part(number, F.count, F.sum)]

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from ..functions.predicates import Condition, all_of
 from ..functions.scalars import clip_top, joined, steps_between
-from .features import check_names, key_column, quoted
+from .features import bounded_function, check_names, key_column, quoted
 
 # An entity with more than this share of all rows is cut into chunks, so at most
 # 1 / HOT_SHARE entities are.
@@ -132,7 +132,7 @@ def _fold(feature, slot: str) -> tuple[dict[str, Column], Column]:
     """Row-level inputs of a feature, read while `iat` is its step, and its fold."""
     if isinstance(feature, IatStat):
         picked = F.when(all_of(feature.where), F.col("iat"))
-        return {slot: picked}, F.call_function(feature.func.lower(), F.col(slot))
+        return {slot: picked}, F.call_function(bounded_function(feature.func), F.col(slot))
     bottom = all_of(feature.where, feature.bottom)
     top = all_of(feature.where, feature.bottom, feature.top)
     inputs = {f"{slot}_top": top, f"{slot}_bottom": bottom}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,6 +25,7 @@ def _labelled_requests(
     schemas: Sequence[str],
     names: Sequence[str],
     device: str | None,
+    skew: Mapping[str, float | bool],
 ) -> DataFrame:
     """Requests with the tallies of their id, once per schema.
 
@@ -35,7 +36,7 @@ def _labelled_requests(
     if device:
         needed.add(device)
     needed = sorted(c for c in needed if c not in names)
-    joined = skew_join(requests.select(REQUEST, *needed), tallies, [REQUEST], "inner")
+    joined = skew_join(requests.select(REQUEST, *needed), tallies, [REQUEST], "inner", **skew)
     carried = {n: F.col(n) for n in names}
     if device:
         carried["_device"] = F.col(device)
@@ -43,7 +44,11 @@ def _labelled_requests(
 
 
 def retention_labels(
-    activations: DataFrame, requests: DataFrame, schemas: Sequence[str], prefix: str
+    activations: DataFrame,
+    requests: DataFrame,
+    schemas: Sequence[str],
+    prefix: str,
+    **skew: float | bool,
 ) -> DataFrame:
     """Devices, activations and retention against the baseline, per pattern.
 
@@ -69,7 +74,7 @@ def retention_labels(
         )
         sums[f"_based_{name}"] = F.count_if(inside & baseline.isNotNull())
     tallies = activations.groupBy(F.col("req_id").alias(REQUEST)).agg(*_tallies(sums))
-    rows = _labelled_requests(tallies, requests, schemas, list(sums), DEVICE)
+    rows = _labelled_requests(tallies, requests, schemas, list(sums), DEVICE, skew)
 
     by = ("_schema", "group_pattern")
     again = {n: F.sum(n) for n in sums}
@@ -93,7 +98,7 @@ def retention_labels(
 
 
 def order_labels(
-    orders: DataFrame, requests: DataFrame, schemas: Sequence[str]
+    orders: DataFrame, requests: DataFrame, schemas: Sequence[str], **skew: float | bool
 ) -> DataFrame:
     """Order counts, failures and amounts per pattern, also for trusted orders.
 
@@ -117,7 +122,7 @@ def order_labels(
         "_trust_failed": F.sum(F.when(trusted, failed).otherwise(zero)),
     }
     tallies = orders.groupBy(REQUEST).agg(*_tallies(sums))
-    rows = _labelled_requests(tallies, requests, schemas, list(sums), None)
+    rows = _labelled_requests(tallies, requests, schemas, list(sums), None, skew)
     by = ("_schema", "group_pattern")
     totals = rows.groupBy(*by).agg(*_tallies({n: F.sum(n) for n in sums}))
     labels = {

@@ -72,20 +72,11 @@ def grid_points(low: Column, high: Column, step: Column) -> Column:
     return F.when(F.array_max(points) < high, extended).otherwise(points)
 
 
-def grid_dims(spec: DataFrame) -> DataFrame:
-    """(group_schema, dims) from (group_schema, at, feature, low, high, step) rows.
+def grid_table(spark: SparkSession, strategies: Sequence[Strategy]) -> DataFrame:
+    """(group_schema, dims): one row per strategy.
 
-    `dims` lists a schema's features by `at`, each with its thresholds.
+    `dims` lists a schema's features in order, each with its thresholds.
     """
-    points = grid_points(F.col("low"), F.col("high"), F.col("step"))
-    dim = F.struct("at", "feature", points.alias("thresholds"))
-    return spec.groupBy("group_schema").agg(
-        F.sort_array(F.collect_list(dim)).alias("dims")
-    )
-
-
-def grid_table(spark: SparkSession, strategies: Sequence[Strategy]) -> DataFrame:
-    """`grid_dims` of a spec: one row per strategy."""
     check_schemas([s.schema for s in strategies])
     rows = []
     for strategy in strategies:
@@ -108,42 +99,39 @@ def grid_table(spark: SparkSession, strategies: Sequence[Strategy]) -> DataFrame
     return spark.range(0, 1, 1, 1).select(F.inline(F.array(*rows)))
 
 
-def threshold_steps(number: Column, thresholds: Column) -> Column:
-    """Thresholds a value reaches, or just BELOW_GRID if it reaches none."""
-    held = F.coalesce(number, F.lit(MISSING_FEATURE))
-    reached = F.filter(thresholds, lambda t: t <= held)
-    return F.when(F.size(reached) > 0, reached).otherwise(F.array(F.lit(BELOW_GRID)))
+def points_reached(number: Column, thresholds: Column) -> Column:
+    """How many of the ascending thresholds a value reaches; a feature not there is -1."""
+    held = F.array(F.coalesce(number, F.lit(MISSING_FEATURE)))
+    # The outer lambda binds the value, which would else be made per threshold.
+    return F.transform(held, lambda v: F.size(F.filter(thresholds, lambda t: t <= v)))[0]
 
 
-def _cells(groups: DataFrame, grids: DataFrame, width: int) -> DataFrame:
+def _cells(
+    groups: DataFrame, grids: DataFrame, strategies: Sequence[Strategy], width: int
+) -> DataFrame:
     """Groups of the gridded schemas with `_c0`..: points reached per feature.
 
     Schemas with fewer features than `width` have 0 in the columns left over.
+    The features come from one parse of the JSON per group.
     """
-    values = F.from_json("feature_json", T.MapType(T.StringType(), T.StringType()))
-    held = F.transform(
-        F.col("dims"),
-        lambda d: F.coalesce(
-            F.try_element_at(F.col("_values"), d["feature"]).try_cast("double"),
-            F.lit(MISSING_FEATURE),
-        ),
-    )
-    reached = F.transform(
-        F.col("dims"),
-        lambda d, i: F.size(
-            F.filter(d["thresholds"], lambda t: t <= F.get(F.col("_held"), i))
-        ),
-    )
-    # The grid has one row per strategy of the spec.
+    names = sorted({d.feature for s in strategies for d in s.grid})
+    texts = [f"_v{k}" for k in range(len(names))]
+    # A generator makes them, so nothing above parses the JSON again.
     placed = (
         groups.join(F.broadcast(grids), "group_schema")
-        .withColumn("_values", values)
-        .withColumn("_held", held)
-        .withColumn("_cell", reached)
+        .select("*", F.json_tuple("feature_json", *names).alias(*texts))
     )
-    cells = {
-        f"_c{i}": F.coalesce(F.get("_cell", F.lit(i)), F.lit(0)) for i in range(width)
-    }
+    cells = {}
+    for i in range(width):
+        value = F.lit(None).cast("double")
+        for strategy in strategies:
+            if i < len(strategy.grid):
+                text = F.col(texts[names.index(strategy.grid[i].feature)])
+                here = F.col("group_schema") == strategy.schema
+                value = F.when(here, text.try_cast("double")).otherwise(value)
+        points = F.get("dims", F.lit(i)).getField("thresholds")
+        cells[f"_c{i}"] = F.coalesce(points_reached(value, points), F.lit(0))
+    # The grid has one row per strategy of the spec.
     return placed.select(*groups.columns, *[c.alias(n) for n, c in cells.items()])
 
 
@@ -191,7 +179,7 @@ def expand_rules(
     axes = [f"_c{i}" for i in range(width)]
     again = [F.sum(n).alias(n) for n in measures]
     cells = (
-        _cells(groups, grids, width)
+        _cells(groups, grids, strategies, width)
         .groupBy("group_schema", *axes)
         .agg(*[c.alias(n) for n, c in measures.items()])
     )
@@ -361,14 +349,18 @@ def good_rules(strategies: DataFrame, targets: Sequence[Condition]) -> DataFrame
 
 def _rule_cells(rules: DataFrame, grids: DataFrame, width: int) -> DataFrame:
     """Rules of the current grid as cells; any other rule text can match nothing."""
-    texts = F.split("rule_condition", " and ")
+    parts = F.array(F.split("rule_condition", " and "))
+    # The outer lambda binds the parts of the text, so it is split once per rule.
     steps = F.transform(
-        F.col("dims"),
-        lambda d, i: F.array_position(
-            d["thresholds"],
-            F.element_at(F.split(F.get(texts, i), " >= "), -1).try_cast("double"),
-        ).cast("int"),
-    )
+        parts,
+        lambda texts: F.transform(
+            F.col("dims"),
+            lambda d, i: F.array_position(
+                d["thresholds"],
+                F.element_at(F.split(F.get(texts, i), " >= "), -1).try_cast("double"),
+            ).cast("int"),
+        ),
+    )[0]
     cells = rules.join(F.broadcast(grids), "group_schema").withColumn("_steps", steps)
     axes = [
         F.coalesce(F.get("_steps", F.lit(i)), F.lit(0)).alias(f"_c{i}")
@@ -422,7 +414,7 @@ def match_patterns(
         prod(d.most_points + 1 for d in s.grid[: width - 1]) for s in strategies
     )
     matched = (F.col(last) >= F.col("_from")) | ((F.col(last) == 0) & F.col("_below"))
-    placed = _cells(groups, grids, width)
+    placed = _cells(groups, grids, strategies, width)
     keys = ["group_schema", *inner]
     if bound <= BROADCAST_CELLS:
         found = placed.join(F.broadcast(hit), keys)

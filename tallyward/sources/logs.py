@@ -20,7 +20,7 @@ from ..constants import (
     PASSING_POLICIES,
     PLACEMENT_FLOOR,
 )
-from ..functions.predicates import trailing_window
+from ..functions.predicates import in_window
 from ..functions.scalars import (
     ecpm_bin,
     ecpm_price,
@@ -107,11 +107,10 @@ def convert_events(
     fields = json_texts(
         F.col("external_json"), ("client_ip", "device_model", "room_id", "click_at")
     )
-    raw = ad_stats.where(
+    raw = in_window(ad_stats, date, hour, hours).where(
         (F.col("biz_line") == CONVERT_BUSINESS_LINE)
         & (F.col("rit") > PLACEMENT_FLOOR)
         & (F.col("label") == CONVERT_LABEL)
-        & trailing_window(date, hour, hours)
     )
     listed = keep_listed(
         raw.withColumn("union_imei", F.col("union_uuid")),
@@ -154,12 +153,12 @@ def convert_events(
 
 def convert_wide(log: DataFrame, date: str, hour: str, hours: int) -> DataFrame:
     """The wide convert log of a trailing window."""
-    return log.where(trailing_window(date, hour, hours)).select(*CONVERT_WIDE_COLUMNS)
+    return in_window(log, date, hour, hours).select(*CONVERT_WIDE_COLUMNS)
 
 
 def requests(log: DataFrame, date: str, hour: str, hours: int) -> DataFrame:
     """The request log of a trailing window, with `req_id` and `ipc`."""
-    raw = log.where(trailing_window(date, hour, hours, date_col="p_date"))
+    raw = in_window(log, date, hour, hours, date_col="p_date")
     return raw.withColumns(
         {"req_id": F.col("request_id"), "ipc": ip_prefix(F.col("ip"), 3)}
     ).select(*REQUEST_COLUMNS)

@@ -4,7 +4,8 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry_module
+import __spark_entry__  # noqa: F401 - registers the queries
+from catalog.registry import QUERIES
 from helpers import plan_of
 
 SF = "/root/testdata/sf0.001"
@@ -12,7 +13,7 @@ SF = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="module")
 def plans(spark):
-    return {n: plan_of(q(spark, SF)) for n, q in entry_module.queries().items()}
+    return {n: plan_of(q(spark, SF)) for n, q in QUERIES.items()}
 
 
 def test_no_python_and_no_products(plans):
@@ -41,6 +42,13 @@ def test_top_n_is_cut_before_entities_come_together(plans):
     assert ", Partial" in plans["entity_top_n_ratio"]
 
 
+def test_rules_parse_a_groups_json_once(plans):
+    for name in ("rule_expand", "strategy_mining", "pattern_match"):
+        assert "lambdafunction(from_json" not in plans[name].replace(" ", ""), name
+        for call in re.findall(r"(?:transform|filter)\([^\n]*", plans[name]):
+            assert "from_json" not in call.split("lambdafunction")[-1], name
+
+
 def test_shuffle_partitions_follow_the_input():
     from tallyward.session import shuffle_settings
 

@@ -39,31 +39,17 @@ def texts(features, strategy):
     ],
 )
 def test_grid_points(spark, low, high, step, want):
-    spec = spark.createDataFrame(
-        [("s", 0, "f", low, high, step)],
-        "group_schema string, at int, feature string, low double, high double, step double",
-    )
-    (row,) = R.grid_dims(spec).collect()
-    assert row.dims[0].thresholds == want
     table = R.grid_table(spark, [Strategy("s", (GridDim("f", low, high, step),))])
     assert table.collect()[0].dims[0].thresholds == want
 
 
 @pytest.mark.parametrize(
-    "value, want",
-    [
-        (0.1, [-1.0]),
-        (0.2, [0.2]),
-        (0.25, [0.2]),
-        (0.4, [0.2, 0.3, 0.4]),
-        (9.0, [0.2, 0.3, 0.4]),
-        (None, [-1.0]),
-    ],
+    "value, want", [(0.1, 0), (0.2, 1), (0.25, 1), (0.4, 3), (9.0, 3), (None, 0)]
 )
-def test_threshold_steps(spark, value, want):
+def test_points_reached(spark, value, want):
     df = spark.createDataFrame([(value, [0.2, 0.3, 0.4])], "v double, g array<double>")
-    (row,) = df.select(R.threshold_steps(F.col("v"), F.col("g")).alias("t")).collect()
-    assert row.t == want
+    (row,) = df.select(R.points_reached(F.col("v"), F.col("g")).alias("n")).collect()
+    assert row.n == want
 
 
 @pytest.mark.parametrize(

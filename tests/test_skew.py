@@ -19,11 +19,11 @@ def listed(spark):
 
 
 def test_hot_keys_are_found(log):
-    found = skew.hot_hashes(log, ["k"], 0.1, 0)
-    want = log.where("k IS NULL OR k = ''").select(F.xxhash64("k")).distinct()
-    assert rows(found, "_hash") == rows(want)
-    assert skew.hot_hashes(log, ["k"], 0.5, 0).count() == 0
-    assert skew.hot_hashes(log, ["k"]).count() == 0
+    found = skew.hot_keys(log, ["k"], 0.1, 0)
+    want = log.where("k IS NULL OR k = ''").select(F.xxhash64("k").alias("h")).distinct()
+    assert found == {r["h"]: 1000 / 3000 for r in want.collect()}
+    assert skew.hot_keys(log, ["k"], 0.5, 0) == {} == skew.hot_keys(log, ["k"])
+    assert skew.hot_keys(log.limit(0), ["k"], 0.1, 0) == {}
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
@@ -47,9 +47,38 @@ def test_small_lists_are_left_to_spark(log, spark):
     assert "_salt" not in plan_of(skew.skew_join(log, few, ["k"], "left"))
     wide = spark.range(10**9).select(F.col("id").cast("string").alias("k"))
     assert not skew.estimated_small(wide)
-    assert "_salt" in plan_of(skew.skew_join(log, wide, ["k"], "left_semi"))
+    assert "_salt" in plan_of(skew.skew_join(log, wide, ["k"], "left_semi", 0.1, 0))
 
 
-def test_key_types_must_agree(log, spark):
+def test_salts_follow_partitions_and_share(log, listed, spark):
+    def dealt():
+        plan = plan_of(skew.skew_join(log, listed, ["k"], "left", 0.1, 0, salted=True))
+        return plan.count("_salt") > 0
+
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        joined = skew.skew_join(log, listed, ["k"], "left_semi", 0.1, 0, salted=True)
+        assert dealt() and joined.count() == log.join(listed, "k", "left_semi").count()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_nothing_hangs_on_exchange_reuse(log, listed, how, spark):
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        salted = skew.skew_join(log, listed, ["k"], how, 0.1, 0, salted=True)
+        assert rows(salted, "k") == rows(log.join(listed, "k", how), "k")
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
+
+
+@pytest.mark.parametrize("salted", [False, True, None])
+def test_key_types_are_treated_alike_at_any_size(log, spark, salted):
+    numbers = spark.range(100).select((F.col("id") % 7).cast("int").alias("n"), "id")
+    wide = spark.range(3).select(F.col("id").alias("n"))
+    for mine, theirs in ((numbers, wide), (numbers.withColumn("n", F.col("n").cast("bigint")), wide)):
+        kept = skew.skew_join(mine, theirs, ["n"], "left_semi", 0.01, 0, salted=salted)
+        assert sorted(r["id"] for r in kept.collect()) == [k for k in range(100) if k % 7 < 3]
     with pytest.raises(ValueError):
-        skew.skew_join(log, spark.range(3).withColumnRenamed("id", "k"), ["k"], "left", salted=True)
+        skew.skew_join(log, wide.withColumnRenamed("n", "k"), ["k"], "left", salted=salted)
