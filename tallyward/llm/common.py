@@ -6,14 +6,20 @@ import os
 import re
 import tempfile
 import uuid
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyward.operators.skew import skew_join
+
 # A word is a longest run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
+# Graphs from this size on are looked over for nodes with many edges.
+MANY_EDGES = 1_000_000
+
 _own_folder: list[str] = []
 
 
@@ -65,26 +71,25 @@ def word_count(text: Column | str) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)).cast("bigint"), F.lit(0).cast("bigint"))
 
 
-def _star(edges: DataFrame, both_ways: bool) -> DataFrame:
-    """Large-star (both ways) or small-star: hang neighbours on the smallest one.
+def _lows(edges: DataFrame, key: str, join: Callable) -> DataFrame:
+    """Edges with `_low`, the smallest neighbour below the node in column `key`."""
+    least = edges.groupBy(F.col("a").alias("_node")).agg(F.min("b").alias("_low"))
+    return join(edges.withColumn("_node", F.col(key)), least)
+
+
+def _star(edges: DataFrame, join: Callable) -> DataFrame:
+    """One large-star and one small-star step on distinct edges (a, b) with a > b.
 
-    edges: distinct (a, b) with a > b. Only minima per node are aggregated, so
-    no node's neighbours ever meet in one row.
+    Large-star hangs every node on the smallest neighbour of the nodes below it,
+    small-star all nodes below a node on the smallest of them. Only minima per node
+    are aggregated, so no node's neighbours ever meet in one row.
     """
-    links = edges
-    if both_ways:
-        links = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = links.groupBy("a").agg(F.min("b").alias("low"))
-    joined = links.join(least, "a")
-    if both_ways:
-        moved = joined.where("b > a").select(
-            F.col("b").alias("a"), F.least("a", "low").alias("b")
-        )
-    else:
-        moved = joined.select(F.col("b").alias("a"), F.col("low").alias("b")).unionByName(
-            joined.select("a", F.col("low").alias("b"))
-        )
-    return moved.where("a > b").distinct()
+    large = cut(_lows(edges, "b", join).select("a", F.coalesce("_low", "b").alias("b")).distinct())
+    lows = _lows(large, "a", join)
+    both = lows.select(F.col("b").alias("a"), F.col("_low").alias("b")).unionByName(
+        lows.select("a", F.col("_low").alias("b"))
+    )
+    return both.where("a > b").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -92,7 +97,8 @@ def components(edges: DataFrame) -> DataFrame:
 
     component_id is the smallest id of the component. Ids without an edge to
     another id have no row. Alternates large-star and small-star until the edges
-    are one star per component; every round is checkpointed.
+    are one star per component; every round is checkpointed. From MANY_EDGES on,
+    nodes that many edges hang on are dealt out.
     """
     now = cut(
         edges.where("a <> b")
@@ -104,8 +110,14 @@ def components(edges: DataFrame) -> DataFrame:
         state = now.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first()
         if state[0] == 0 or state == seen:
             return now.select(F.col("a").alias("id"), F.col("b").alias("component_id"))
-        seen = state
-        now = cut(_star(_star(now, True), False))
+        seen, many = state, state[0] >= MANY_EDGES
+
+        def join(left: DataFrame, least: DataFrame) -> DataFrame:
+            if many:
+                return skew_join(left, least, ["_node"], "left", floor=MANY_EDGES // 100, salted=True)
+            return left.join(least, "_node", "left")
+
+        now = cut(_star(now, join))
 
 
 def permuted(x: Column, n: Column, key: Column) -> Column:

@@ -7,6 +7,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+from tallyward.llm import common
 from tallyward.llm.common import components, permuted
 from tallyward.llm.groups import forest, sorted_groups
 from tallyward.llm.octets import runs, shingle_hashes, word_hashes
@@ -48,6 +49,14 @@ def test_components_match_union_find(spark):
     assert got == want
 
 
+def test_components_with_dealt_out_nodes(spark, monkeypatch):
+    monkeypatch.setattr(common, "MANY_EDGES", 10)
+    edges = [(7, k) for k in range(8, 400)] + [(k, k + 1) for k in range(500, 530)]
+    df = components(spark.createDataFrame(edges, "a bigint, b bigint"))
+    got = {r["id"]: r["component_id"] for r in df.collect()}
+    assert got == {**{k: 7 for k in range(8, 400)}, **{k: 500 for k in range(501, 531)}}
+
+
 def test_components_of_nothing(spark):
     none = spark.createDataFrame([], "a bigint, b bigint")
     assert components(none).collect() == []
