@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyward.functions.predicates import trailing_window
-from tallyward.operators.entity import Entity, FeatureGroup, entity_features
+from tallyward.operators.entity import Entity, FeatureGroup, entity_features, wide_to_long
 from tallyward.operators.features import (
     Count,
     DistinctCount,
@@ -22,11 +22,12 @@ from tallyward.operators.iat import (
     IatStat,
     IatStep,
     InterArrival,
+    inter_arrival,
 )
 from tallyward.operators.merge import MergedFeature, merge_wide, population_stats
 
 from .inputs import events, hourly, table
-from .registry import long_sql, query, settle, settled_sql
+from .registry import ORACLE, long_sql, query, settle, settled_sql
 
 
 def _users(spark: SparkSession, sf_dir: str, *features, arrivals=()) -> DataFrame:
@@ -262,6 +263,15 @@ def entity_iat_rank_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("entity_iat_hot", ORACLE["entity_iat_rank_ratio"])
+def entity_iat_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with every entity cut into chunks, as in a log of billions of rows."""
+    feature = IatRankRatio("iat_rank_ratio", "iat <= 3600", where="iat > 0")
+    arrivals = _arrivals("sec", IatStep("minus", (feature,)))
+    wide = inter_arrival(events(spark, sf_dir), ("user_id",), arrivals, 1 / 1_000, 0)
+    return settle(wide_to_long(wide, "user_id", [("iat_rank_ratio", "iat")]), "fval")
+
+
 _RATIOS = {
     "div": "next_value / nullif(value, 0)",
     "div_max": "CASE WHEN next_value > value THEN next_value / nullif(value, 0) ELSE value / nullif(next_value, 0) END",

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyward.constants import MAKE_MONEY_FIRST_TAG
 from tallyward.functions.scalars import json_number, json_texts
+from tallyward.operators.skew import skew_join
 from tallyward.sources.columns import REQUEST_COLUMNS
 
 # The label jobs work on one day; the derived tables carry this one throughout.
@@ -161,7 +162,7 @@ def activations(spark: SparkSession, sf_dir: str) -> DataFrame:
     baseline = F.when(user % 13 == 0, F.lit(0.0)).when(
         user % 7 != 0, F.lit(0.25) + (user % 3) * F.lit(0.125)
     )
-    return rows.join(first, "user_id").select(
+    return skew_join(rows, first, ["user_id"], "inner").select(
         F.lit(DAY).alias("date"),
         F.to_json(
             F.struct(

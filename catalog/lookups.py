@@ -23,6 +23,7 @@ from tallyward.operators.joins import (
     keep_listed,
     tag_lookup,
 )
+from tallyward.plans.jobs import run_entity_features
 from tallyward.plans.specs import DEVICE_CONVERT
 from tallyward.sources.columns import CONVERT_WIDE_COLUMNS
 from tallyward.sources.logs import (
@@ -425,6 +426,15 @@ def device_convert_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return settle(entity_features(_converts(spark, sf_dir), DEVICE_CONVERT), "fval")
 
 
+@query("job_entity_features", _device_sql())
+def job_entity_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same features by the job that users call."""
+    long = run_entity_features(
+        lambda *window: _converts(spark, sf_dir), DEVICE_CONVERT, LAST_DAY, LAST_HOUR, ALL_HOURS, "v1"
+    )
+    return settle(long, "fval")
+
+
 @query("source_risk_apps", APPS_SQL)
 def source_risk_apps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return risk_apps(make_money_apps(spark, sf_dir), app_status(spark, sf_dir), DAY, (12, 42))

@@ -115,6 +115,17 @@ def _aggregates(rows: DataFrame, entity: Entity) -> list[DataFrame]:
     return long
 
 
+def passes(group: FeatureGroup) -> int:
+    """How many times the features of a group read its log."""
+    number = 0
+    for entity in group.entities:
+        ranked = [f for f in entity.features if _ranks(f)]
+        number += len(plan_branches([f for f in entity.features if not _ranks(f)]))
+        # An event order looks for hot entities first.
+        number += bool(ranked) + 2 * len(entity.arrivals)
+    return number
+
+
 def entity_features(log: DataFrame, group: FeatureGroup) -> DataFrame:
     """All features of all entities of a group.
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from pyspark.sql import types as T
 from ..functions.predicates import Condition, all_of
 from ..functions.scalars import clip_top, joined, steps_between
 from .features import bounded_function, check_names, key_column, quoted
+from .skew import hot_keys
 
 # An entity with more than this share of all rows is cut into chunks, so at most
 # 1 / HOT_SHARE entities are.
@@ -20,6 +22,8 @@ HOT_SHARE = 1 / 1_000
 HOT_FLOOR = 1_000_000
 # Hot entities are cut at this many quantiles of the first sort key, squared.
 SIDE = 32
+# Quantiles of tasks are merged in this many groups first.
+MERGED = 256
 
 
 @dataclass(frozen=True, eq=False)
@@ -176,21 +180,23 @@ def event_pairs(
         )
         return _steps(linked, spec)
 
-    chunked = _chunk(events, by, hot_share, hot_floor)
-    local = Window.partitionBy(*by, "_chunk").orderBy(*order)
-
-    def link(frame: DataFrame) -> DataFrame:
-        return frame.select(
-            "_by",
-            *by,
-            "_chunk",
-            carried.alias("_cur"),
-            F.lead(carried).over(local).alias("_next"),
-            F.row_number().over(local).alias("rank_num"),
-        )
+    hot = hot_keys(events, by, hot_share, hot_floor)
+    if not hot:
+        chunked, parts = events, by
+    else:
+        chunked, parts = _chunk(events, by, list(hot)), [*by, "_chunk"]
+    local = Window.partitionBy(*parts).orderBy(*order)
+    inside = chunked.select(
+        "_by",
+        *parts,
+        carried.alias("_cur"),
+        F.lead(carried).over(local).alias("_next"),
+        F.row_number().over(local).alias("rank_num"),
+    )
+    if not hot:
+        return _steps(inside.select("_by", "_cur", "_next", "rank_num"), spec)
 
-    inside = link(chunked)
-    edges = _chunk_edges(link(chunked.where(F.col("_hot"))), by)
+    edges = _chunk_edges(chunked.where("_chunk > -2"), by, carried, F.struct(*order))
     if spec.ranked:
         # `edges` has one row per chunk, about SIDE ** 2 / hot_share at most.
         offsets = edges.select(
@@ -264,40 +270,43 @@ def _shared_digits(low: Column, high: Column) -> Column:
     )
 
 
-def _chunk(
-    events: DataFrame, by: list[str], hot_share: float, hot_floor: int
-) -> DataFrame:
-    """Add `_chunk`, never falling with the first sort key, and `_hot`.
+def _chunk(events: DataFrame, by: list[str], hot: list[int]) -> DataFrame:
+    """Add `_chunk`, never falling with the first sort key; -2 where it is not cut.
 
-    Entities that are not hot have one chunk. The quantiles only balance the
-    chunks; the result does not depend on them.
+    The quantiles only balance the chunks, so they are quantiles of the quantiles of
+    MERGED parts, and no task merges what all tasks have gathered. They go by way
+    of the driver, at most 1 / HOT_SHARE rows of SIDE ** 2 numbers, so every use
+    of the chunks cuts alike.
     """
+    spark = events.sparkSession
     kind = events.schema["_o0"].dataType
-    text = isinstance(kind, T.StringType)
-    sizes = events.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("_n"), F.min("_o0").alias("_lo"), F.max("_o0").alias("_hi")
-    )
-    total = sizes.agg(F.sum("_n")).scalar()
-    limit = F.greatest(total * F.lit(hot_share), F.lit(float(hot_floor)))
-    skip = _shared_digits(F.col("_lo"), F.col("_hi")) if text else F.lit(0)
-    hot = sizes.where(F.col("_n") > limit).select(
-        *[F.col(b).alias(f"{b}_hot") for b in by], skip.alias("_skip")
-    )
-    same = F.lit(True)
-    for b in by:
-        same &= F.col(b).eqNullSafe(F.col(f"{b}_hot"))
-    at = _place(kind, F.col("_o0"), F.col("_skip"))
+    picked = events.where(F.xxhash64(*by).isin(hot))
+    skip = F.lit(0)
+    if isinstance(kind, T.StringType):
+        skip = _shared_digits(F.min("_o0"), F.max("_o0"))
+    skips = picked.groupBy(*by).agg(skip.alias("_skip"))
+    skips = spark.createDataFrame(skips.collect(), skips.schema)
+
+    def same(df: DataFrame) -> Column:
+        return reduce(lambda x, y: x & y, [events[b].eqNullSafe(df[b]) for b in by])
 
-    # `hot` and `cuts` have one row per entity above a share of all rows, so at
-    # most 1 / hot_share rows.
+    at = _place(kind, F.col("_o0"), F.col("_skip"))
     count = SIDE * SIDE
-    shares = F.expr(f"array({', '.join(f'{i / count}D' for i in range(1, count))})")
+
+    def quantiles(value: Column) -> Column:
+        shares = F.expr(f"array({', '.join(f'{i / count}D' for i in range(1, count))})")
+        return F.percentile_approx(value, shares, F.lit(20 * count))
+
+    parted = picked.join(F.broadcast(skips), same(skips)).select(
+        *[skips[b] for b in by], "_skip", at.alias("_at"), (F.spark_partition_id() % MERGED).alias("_p")
+    )
+    some = parted.groupBy(*by, "_skip", "_p").agg(quantiles(F.col("_at")).alias("_some"))
     cuts = (
-        events.join(F.broadcast(hot), same, "inner")
-        .groupBy(*[f"{b}_hot" for b in by], "_skip")
-        .agg(F.array_sort(F.percentile_approx(at, shares, F.lit(20 * count))).alias("_all"))
+        some.select(*by, "_skip", F.explode_outer("_some").alias("_at"))
+        .groupBy(*by, "_skip")
+        .agg(F.array_sort(quantiles(F.col("_at"))).alias("_all"))
         .select(
-            *[f"{b}_hot" for b in by],
+            *by,
             "_skip",
             F.transform(
                 F.sequence(F.lit(1), F.lit(SIDE - 1)), lambda i: F.get("_all", i * SIDE - 1)
@@ -308,28 +317,34 @@ def _chunk(
             ).alias("_fine"),
         )
     )
+    cuts = spark.createDataFrame(cuts.collect(), cuts.schema)
 
     def below(quantiles: Column) -> Column:
         return F.size(F.filter(quantiles, lambda q: q <= at))
 
     coarse = below(F.col("_coarse"))
     chunk = (
-        F.when(F.col("_coarse").isNull(), 0)
-        .when(F.col("_o0").isNull(), -1)
+        F.when(F.col("_skip").isNull(), -2)
+        .when(F.col("_o0").isNull() | F.col("_coarse").isNull(), -1)
         .otherwise(coarse * SIDE + below(F.get("_fine", coarse)))
     )
-    return events.join(F.broadcast(cuts), same, "left").select(
-        *events.columns, chunk.alias("_chunk"), F.col("_coarse").isNotNull().alias("_hot")
+    return events.join(F.broadcast(cuts), same(cuts), "left").select(
+        *[events[c] for c in events.columns], chunk.alias("_chunk")
     )
 
 
-def _chunk_edges(linked: DataFrame, by: list[str]) -> DataFrame:
-    """One row per chunk: its last event, the next chunk's first, rows before it."""
-    ends = linked.where((F.col("rank_num") == 1) | F.col("_next").isNull())
-    edges = ends.groupBy("_by", *by, "_chunk").agg(
-        F.first(F.when(F.col("rank_num") == 1, F.col("_cur")), True).alias("_first"),
-        F.first(F.when(F.col("_next").isNull(), F.col("_cur")), True).alias("_last"),
-        F.max("rank_num").alias("_events"),
+def _chunk_edges(
+    hot: DataFrame, by: list[str], carried: Column, order: Column
+) -> DataFrame:
+    """One row per chunk: its last event, the next chunk's first, rows before it.
+
+    First and last come from an aggregation that combines before the shuffle;
+    nothing is sorted for them.
+    """
+    edges = hot.groupBy("_by", *by, "_chunk").agg(
+        F.min_by(carried, order).alias("_first"),
+        F.max_by(carried, order).alias("_last"),
+        F.count(F.lit(1)).alias("_events"),
     )
     chunks = Window.partitionBy(*by).orderBy("_chunk")
     before = chunks.rowsBetween(Window.unboundedPreceding, -1)

@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.predicates import Condition, all_of
-from ..operators.entity import FeatureGroup, entity_features
+from ..operators.entity import FeatureGroup, entity_features, passes
 from ..operators.groups import GroupSpec, group_features, to_feature_json
 from ..operators.labels import order_labels, retention_labels
 from ..operators.merge import MergedFeature, merge_wide, population_stats
@@ -47,16 +47,18 @@ def run_entity_features(
     hours: int,
     version: str,
     path: str | None = None,
-    stage: bool = False,
+    stage: bool | None = None,
 ) -> DataFrame | None:
     """All feature kinds of a group as one long table.
 
-    The job reads the log once per pass. With `stage`, a log that is costly to
-    make (joins, JSON) is written to the shared folder first and read from
-    there; the result is then only written, not returned.
+    The job reads the log once per pass. With `stage`, the log is written to the
+    shared folder first and read from there; the result is then only written, not
+    returned. Jobs with a path and several passes are staged unless told not to.
     """
     log = source(date, hour, hours)
     values = {"date": date, "hour": hour, "group": group.name, "version": version}
+    if stage is None:
+        stage = path is not None and passes(group) > 1
     if stage:
         if path is None:
             raise ValueError("a staged job needs a path to write to")

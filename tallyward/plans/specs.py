@@ -199,14 +199,16 @@ MODEL_SCHEMAS = (
     "device_vendor,device_model,wifi_mac",
     "ad_slot_type,device_vendor,device_model,rom_version",
 )
-_RULED = tuple(
-    s
-    for s in MODEL_SCHEMAS
-    if s
-    not in (
-        "device_vendor,device_model,os_type,os_version",
-        "device_vendor,device_model,wifi_mac",
-    )
+_RULED = (
+    "site_id,ipc,device_model,rom_version",
+    "site_id,city_id,device_model",
+    "site_id,ad_slot_type,device_model",
+    "wifi_mac",
+    "ipc,device_model",
+    "device_model,rom_version,os_version",
+    "device_vendor,device_model,rom_version",
+    "device_vendor,device_model,mac",
+    "ad_slot_type,device_vendor,device_model,rom_version",
 )
 RESOURCE_V1 = GroupSpec(
     "REQ_GROUP_DEVICE_RESOURCE_V1", MODEL_SCHEMAS, _resource_features(), where=REQUESTS
@@ -239,27 +241,26 @@ RESOURCE_V3_STRATEGIES = (
 )
 
 # Seventeen schemas with one grid over six features, and targets for good rules.
-_MODEL = "device_vendor,device_model,os_type"
 RESOURCE_V4 = GroupSpec(
     "REQ_GROUP_DEVICE_RESOURCE_V4",
     (
         "mac",
         "wifi_mac",
-        _MODEL,
-        f"{_MODEL},os_version",
-        f"{_MODEL},rom_version",
-        f"{_MODEL},screen_width,screen_height",
-        f"{_MODEL},os_version,rom_version",
-        f"{_MODEL},ipc",
-        f"{_MODEL},city_id",
-        f"{_MODEL},district_id",
-        f"{_MODEL},ip",
-        f"{_MODEL},site_id",
-        f"{_MODEL},media_id",
-        f"{_MODEL},rit",
-        f"{_MODEL},os_version,ad_slot_type",
-        f"{_MODEL},rom_version,ad_slot_type",
-        f"{_MODEL},screen_width,screen_height,ad_slot_type",
+        "device_vendor,device_model,os_type",
+        "device_vendor,device_model,os_type,os_version",
+        "device_vendor,device_model,os_type,rom_version",
+        "device_vendor,device_model,os_type,screen_width,screen_height",
+        "device_vendor,device_model,os_type,os_version,rom_version",
+        "device_vendor,device_model,os_type,ipc",
+        "device_vendor,device_model,os_type,city_id",
+        "device_vendor,device_model,os_type,district_id",
+        "device_vendor,device_model,os_type,ip",
+        "device_vendor,device_model,os_type,site_id",
+        "device_vendor,device_model,os_type,media_id",
+        "device_vendor,device_model,os_type,rit",
+        "device_vendor,device_model,os_type,os_version,ad_slot_type",
+        "device_vendor,device_model,os_type,rom_version,ad_slot_type",
+        "device_vendor,device_model,os_type,screen_width,screen_height,ad_slot_type",
     ),
     (
         _devices(),

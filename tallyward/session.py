@@ -34,10 +34,18 @@ def shuffle_settings(input_bytes: int, cores: int = 1) -> dict[str, str]:
 
 
 def build_session(
-    app_name: str = "tallyward", extra: Mapping[str, str] | None = None
+    app_name: str = "tallyward",
+    extra: Mapping[str, str] | None = None,
+    input_bytes: int | None = None,
+    schemas: int = 1,
 ) -> SparkSession:
-    """A session with SETTINGS and, over them, `extra`."""
+    """A session with SETTINGS and, over them, `extra`.
+
+    Give the compressed input of the largest job and, for group jobs, into how many
+    schemas its rows multiply; shuffles are sized by them.
+    """
+    sized = {} if input_bytes is None else shuffle_settings(input_bytes * schemas)
     builder = SparkSession.builder.appName(app_name)
-    for key, value in {**SETTINGS, **(extra or {})}.items():
+    for key, value in {**SETTINGS, **sized, **(extra or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

@@ -193,15 +193,17 @@ def test_chunks_for_any_sort_key(skewed, kind):
 
 def test_hot_entity_is_really_cut(skewed):
     from tallyward.operators import iat
+    from tallyward.operators.skew import hot_keys
 
     arrival = spec(*FEATURES)
     events = iat._events(skewed, ("d",), arrival)
-    chunked = iat._chunk(events, ["_e0"], 0.5, 0)
-    assert chunked.where("_hot").select("_e0").distinct().collect() == [("hot",)]
+    hot = list(hot_keys(events, ["_e0"], 0.5, 0))
+    chunked = iat._chunk(events, ["_e0"], hot)
+    assert chunked.where("_chunk > -2").select("_e0").distinct().collect() == [("hot",)]
     sizes = chunked.where("_e0 = 'hot'").groupBy("_chunk").count().collect()
     assert len(sizes) > 500
     assert max(r["count"] for r in sizes) < 30
     text = skewed.withColumn("t", F.expr("CAST(timestamp_seconds(t) AS STRING)"))
     events = iat._events(text, ("d",), arrival)
-    sizes = iat._chunk(events, ["_e0"], 0.01, 0).where("_e0 = 'hot'").groupBy("_chunk").count()
+    sizes = iat._chunk(events, ["_e0"], hot).where("_e0 = 'hot'").groupBy("_chunk").count()
     assert sizes.count() > 500
