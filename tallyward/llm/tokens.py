@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 from collections.abc import Iterable
@@ -16,6 +17,8 @@ import numpy as np
 SPLITS = {"word_bpe_49k.json": bytes.split, "byte_bpe_50k.json": re.compile(rb"\s*\S+|\s+").findall}
 # White space beyond ASCII. A run that mixes it with ASCII must not be cut.
 WIDE_SPACE = re.compile("[\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]")
+# White space other than lone spaces and line ends, and the byte used to cut at those.
+UNEVEN_SPACE = re.compile(rb"[\t\r\x0b\x0c\x00]|[ \n][ \n]")
 # Marks that end a sentence or clause.
 ENDS = (b".", b",")
 # Pieces known at once; some 200 bytes each, as for words.
@@ -91,12 +94,30 @@ class Encoder:
         for piece in ended:
             self.known[piece] += young[piece[-1:]]
 
+    def _pieces(self, text: bytes) -> list[bytes] | None:
+        """What a text is cut into; None if it has to be encoded whole."""
+        if self.folds_case:
+            return text.split()
+        if not text.isascii() and WIDE_SPACE.search(text.decode()):
+            return None
+        if UNEVEN_SPACE.search(text):
+            return self.split(text)
+        # Lone spaces and line ends: a cut before each of them.
+        return text.replace(b" ", b"\0 ").replace(b"\n", b"\0\n").split(b"\0")
+
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text as bytes, without special tokens of the tokenizer's own."""
-        cut: list[list[bytes] | None] = []
-        for text in texts:
-            whole = not self.folds_case and not text.isascii() and WIDE_SPACE.search(text.decode())
-            cut.append(None if whole else self.split(text))
+        collecting = gc.isenabled()
+        # Millions of pieces in lists, none of them in a cycle.
+        gc.disable()
+        try:
+            return self._encode(texts)
+        finally:
+            if collecting:
+                gc.enable()
+
+    def _encode(self, texts: list[bytes]) -> list[bytes]:
+        cut = [self._pieces(text) for text in texts]
         known = self.known.__contains__
         met = {p for pieces in cut if pieces for p in filterfalse(known, pieces)}
         if len(self.known) + len(met) > KNOWN_PIECES:
