@@ -333,16 +333,14 @@ def _distinct_share(top: str) -> str:
     )
 
 
-FEATURES_SQL = _patterns_sql(
-    f"""SELECT r.*, CASE WHEN b.request_id IS NOT NULL THEN 1 ELSE 0 END AS hit_black_device_flag
+_FLAGGED_SQL = f"""SELECT r.*, CASE WHEN b.request_id IS NOT NULL THEN 1 ELSE 0 END AS hit_black_device_flag
     FROM ({REQUEST_SQL}) r LEFT JOIN ({BLACK_SQL}) b ON r.request_id = b.request_id
-    WHERE ad_source = 1""",
-    SCHEMAS,
-    f"""count(DISTINCT union_imei) AS uimei_distinct_cnt, count(*) AS req_cnt,
+    WHERE ad_source = 1"""
+_FEATURE_COLUMNS = f"""count(DISTINCT union_imei) AS uimei_distinct_cnt, count(*) AS req_cnt,
     {_distinct_share("union_imei_first_time_difference <= 259200")} AS "3d_new_uimei_ratio",
     {_distinct_share("hit_black_device_flag = 1")} AS black_uimei_ratio,
-    {_distinct_share(_BLOCKED)} AS block_uimei_ratio""",
-)
+    {_distinct_share(_BLOCKED)} AS block_uimei_ratio"""
+FEATURES_SQL = _patterns_sql(_FLAGGED_SQL, SCHEMAS, _FEATURE_COLUMNS)
 
 
 def _flagged_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -503,10 +501,10 @@ def _steps_sql(value: str, dim: GridDim) -> str:
     return f"unnest(CASE WHEN len({reached}) > 0 THEN {reached} ELSE [-1.0::DOUBLE] END)"
 
 
-def _rules_sql(rows: str) -> str:
+def _rules_sql(rows: str, strategies: Sequence[Strategy] = STRATEGIES) -> str:
     """Every (row, rule) pair of the naive expansion."""
     parts = []
-    for strategy in STRATEGIES:
+    for strategy in strategies:
         inner = f"SELECT * FROM ({rows}) WHERE group_schema = '{strategy.schema}'"
         for i, dim in enumerate(strategy.grid):
             inner = f"""SELECT *, {_steps_sql(f'"{dim.feature}"', dim)} AS t{i} FROM ({inner})"""
@@ -600,3 +598,72 @@ def pattern_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     matched = match_patterns(groups, good_rules(table_form, TARGETS), STRATEGIES)
     return matched.select("group_schema", "group_pattern")
+
+
+# One grid over six features, as the heaviest spec has, on few points each.
+WIDE_SCHEMAS = ("site_id,os_type,device_model", "city_id,device_model")
+WIDE_GROUP = GroupSpec(
+    "wide",
+    WIDE_SCHEMAS,
+    (
+        *REQUEST_GROUP.features,
+        DistinctRatio("7d_new_uimei_ratio", columns=("union_imei",), top=SEVEN_DAYS),
+    ),
+    where=REQUEST_GROUP.where,
+)
+WIDE_STRATEGIES = tuple(
+    Strategy(
+        schema,
+        (
+            GridDim("black_uimei_ratio", 0.1, 0.7, 0.3),
+            GridDim("block_uimei_ratio", 0.2, 0.6, 0.4),
+            GridDim("3d_new_uimei_ratio", 0.3, 0.9, 0.3),
+            GridDim("7d_new_uimei_ratio", 0.3, 0.9, 0.3),
+            GridDim("uimei_distinct_cnt", 2, 10, 4),
+            GridDim("req_cnt", 2, 22, 10),
+        ),
+    )
+    for schema in WIDE_SCHEMAS
+)
+_WIDE_SQL = _patterns_sql(
+    _FLAGGED_SQL,
+    WIDE_SCHEMAS,
+    f"""{_FEATURE_COLUMNS}, {_distinct_share(SEVEN_DAYS)} AS "7d_new_uimei_ratio\"""",
+)
+_WIDE_EXPANDED_SQL = f"""SELECT group_schema, rule_condition, count(*) AS groups, sum(req_cnt)::BIGINT AS requests
+    FROM ({_rules_sql(_WIDE_SQL, WIDE_STRATEGIES)}) GROUP BY ALL"""
+# Rules that so many groups meet count as good.
+_WIDE_GROUPS = 20
+
+
+def _wide_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return to_feature_json(group_features(_flagged_requests(spark, sf_dir), WIDE_GROUP))
+
+
+def _wide_rules(groups: DataFrame) -> DataFrame:
+    requests = json_number(json_texts(F.col("feature_json"), ("req_cnt",)), "req_cnt")
+    measures = {"groups": F.count(F.lit(1)), "requests": F.sum(requests.cast("bigint"))}
+    return expand_rules(groups, WIDE_STRATEGIES, measures).drop("rule")
+
+
+@query("strategy_mining_wide", _WIDE_EXPANDED_SQL)
+def strategy_mining_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every rule of a six-feature grid with the groups and requests that meet it."""
+    return _wide_rules(_wide_groups(spark, sf_dir))
+
+
+@query(
+    "pattern_match_wide",
+    f"""
+SELECT DISTINCT p.group_schema, p.group_pattern FROM ({_rules_sql(_WIDE_SQL, WIDE_STRATEGIES)}) p
+JOIN (SELECT * FROM ({_WIDE_EXPANDED_SQL}) WHERE groups >= {_WIDE_GROUPS} AND rule_condition LIKE '%ratio >= 0.%req_cnt >= 2.0%') s
+ON p.group_schema = s.group_schema AND p.rule_condition = s.rule_condition
+""",
+)
+def pattern_match_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups that meet a good rule of the six-feature grid, cells joined by shuffling."""
+    groups = _wide_groups(spark, sf_dir)
+    good = (F.col("groups") >= _WIDE_GROUPS) & F.col("rule_condition").like("%ratio >= 0.%req_cnt >= 2.0%")
+    rules = _wide_rules(groups).where(good).select("group_schema", "rule_condition")
+    matched = match_patterns(groups, rules, WIDE_STRATEGIES, 0, share=1 / 100, floor=0)
+    return matched.select("group_schema", "group_pattern")

@@ -376,14 +376,18 @@ def _rule_cells(rules: DataFrame, grids: DataFrame, width: int) -> DataFrame:
 
 
 def match_patterns(
-    groups: DataFrame, rules: DataFrame, strategies: Sequence[Strategy]
+    groups: DataFrame,
+    rules: DataFrame,
+    strategies: Sequence[Strategy],
+    broadcast_cells: int = BROADCAST_CELLS,
+    **skew: float,
 ) -> DataFrame:
     """Distinct groups that meet at least one of the rules.
 
     The rules' cells are widened to every cell that meets a rule, feature by
     feature; for the last feature the lowest threshold says it all. What is
     joined to the groups is bounded by the grid, whatever the number of rules;
-    beyond BROADCAST_CELLS it is joined by shuffling, with the groups of cells
+    beyond `broadcast_cells` it is joined by shuffling, with the groups of cells
     that many share spread out.
     """
     grids = grid_table(groups.sparkSession, strategies)
@@ -416,8 +420,8 @@ def match_patterns(
     matched = (F.col(last) >= F.col("_from")) | ((F.col(last) == 0) & F.col("_below"))
     placed = _cells(groups, grids, strategies, width)
     keys = ["group_schema", *inner]
-    if bound <= BROADCAST_CELLS:
+    if bound <= broadcast_cells:
         found = placed.join(F.broadcast(hit), keys)
     else:
-        found = skew_join(placed, hit, keys, "inner", salted=True)
+        found = skew_join(placed, hit, keys, "inner", salted=True, **skew)
     return found.where(matched).select(*groups.columns).distinct()
