@@ -20,7 +20,7 @@ from tallyward.operators.features import (
     Stat,
 )
 from tallyward.operators.groups import GroupSpec, group_features, to_feature_json
-from tallyward.operators.labels import order_labels, retention_labels
+from tallyward.operators.labels import all_labels, order_labels, retention_labels
 from tallyward.operators.rules import (
     GridDim,
     Strategy,
@@ -29,7 +29,7 @@ from tallyward.operators.rules import (
     match_patterns,
     metric_names,
     mine_strategies,
-    performance_join,
+    with_labels,
     strategies_json,
 )
 from tallyward.plans.specs import (
@@ -262,39 +262,28 @@ def _day_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return day_requests(request_log(spark, sf_dir).withColumn("p_date", F.lit(DAY)), DAY)
 
 
-def _ug(
-    spark: SparkSession, sf_dir: str, requests: DataFrame | None = None
-) -> DataFrame:
-    rows = user_growth_rows(
+def _ug_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return user_growth_rows(
         activations(spark, sf_dir),
         make_money_apps(spark, sf_dir),
         app_status(spark, sf_dir),
         DAY,
         APP_NAMES,
     )
-    requests = requests or _day_requests(spark, sf_dir)
-    return retention_labels(rows, requests, SCHEMAS, "ug")
 
 
-def _game(
-    spark: SparkSession, sf_dir: str, requests: DataFrame | None = None
-) -> DataFrame:
-    rows = game_rows(
+def _game_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return game_rows(
         activations(spark, sf_dir),
         make_money_apps(spark, sf_dir),
         app_status(spark, sf_dir),
         sites(spark, sf_dir),
         DAY,
     )
-    requests = requests or _day_requests(spark, sf_dir)
-    return retention_labels(rows, requests, SCHEMAS, "game")
 
 
-def _ecom(
-    spark: SparkSession, sf_dir: str, requests: DataFrame | None = None
-) -> DataFrame:
-    orders = order_rows(order_performance(spark, sf_dir), DAY)
-    return order_labels(orders, requests or _day_requests(spark, sf_dir), SCHEMAS)
+def _order_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_rows(order_performance(spark, sf_dir), DAY)
 
 
 def _settle_scales(df: DataFrame) -> DataFrame:
@@ -303,12 +292,14 @@ def _settle_scales(df: DataFrame) -> DataFrame:
 
 @query("label_retention", _retention_sql(UG_ROWS_SQL, "ug"))
 def label_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _settle_scales(_ug(spark, sf_dir))
+    rows, requests = _ug_rows(spark, sf_dir), _day_requests(spark, sf_dir)
+    return _settle_scales(retention_labels(rows, requests, SCHEMAS, "ug"))
 
 
 @query("label_retention_anti", _retention_sql(GAME_ROWS_SQL, "game"))
 def label_retention_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _settle_scales(_game(spark, sf_dir))
+    rows, requests = _game_rows(spark, sf_dir), _day_requests(spark, sf_dir)
+    return _settle_scales(retention_labels(rows, requests, SCHEMAS, "game"))
 
 
 _LISTED = "antispam_list_rules LIKE '%UIMEI%' OR antispam_list_rules LIKE '%DID%'"
@@ -401,13 +392,10 @@ def group_request_all_schemas(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _performance(
     spark: SparkSession, sf_dir: str, groups: DataFrame | None = None
 ) -> DataFrame:
-    requests = _day_requests(spark, sf_dir)
     if groups is None:
         groups = to_feature_json(_request_groups(spark, sf_dir))
-    return performance_join(
-        groups,
-        *[to_feature_json(f(spark, sf_dir, requests)) for f in (_game, _ug, _ecom)],
-    )
+    rows = (_game_rows(spark, sf_dir), _ug_rows(spark, sf_dir), _order_rows(spark, sf_dir))
+    return with_labels(groups, all_labels(*rows, _day_requests(spark, sf_dir), SCHEMAS))
 
 
 _ECOM_ROWS = f"SELECT r.*, p.* EXCLUDE (request_id) FROM ({REQUEST_SQL}) r JOIN ({ORDERS_SQL}) p ON r.request_id = p.request_id"

@@ -219,6 +219,11 @@ def performance_join(
     return joined
 
 
+def with_labels(groups: DataFrame, labels: DataFrame) -> DataFrame:
+    """`performance_join` for labels that come as one frame, see `all_labels`."""
+    return groups.join(labels, list(GROUP_KEYS), "left")
+
+
 def _retention_measures(prefix: str) -> tuple[dict[str, Column], list[Column]]:
     parsed = F.col(f"_{prefix}")
     count = json_number(parsed, f"{prefix}_activation_cnt")

@@ -9,11 +9,12 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions.predicates import Condition, all_of
 from ..operators.entity import FeatureGroup, entity_features, passes
-from ..operators.groups import GroupSpec, group_features, to_feature_json
-from ..operators.labels import order_labels, retention_labels
+from ..operators.groups import GROUP_KEYS, GroupSpec, group_features, to_feature_json
+from ..operators.labels import all_labels
 from ..operators.merge import MergedFeature, merge_wide, population_stats
 from ..operators.rules import (
     Strategy,
@@ -156,16 +157,28 @@ def run_performance_labels(
 
     `rows` holds the sources' game_rows, user_growth_rows and order_rows.
     """
-    game = retention_labels(rows.game, day_requests, schemas, "game")
-    ug = retention_labels(rows.ug, day_requests, schemas, "ug")
-    ecom = order_labels(rows.ecom, day_requests, schemas)
-    labels = Performance(*[to_feature_json(f) for f in (game, ug, ecom)])
+    together = all_labels(rows.game, rows.ug, rows.ecom, day_requests, schemas)
+    kinds = {"game": "game_json", "ug": "ug_json", "ecom": "ecom_json"}
+
+    def split(labels: DataFrame) -> Performance:
+        return Performance(
+            **{
+                kind: labels.where(F.col(name).isNotNull()).select(
+                    *GROUP_KEYS, F.col(name).alias("feature_json")
+                )
+                for kind, name in kinds.items()
+            }
+        )
+
     if paths is not None:
         at = {"date": date, "version": version}
-        overwrite_partition(labels.game, paths.game, at)
-        overwrite_partition(labels.ug, paths.ug, at)
-        overwrite_partition(labels.ecom, paths.ecom, at)
-    return labels
+        # Written once, so that the log is not joined again for each kind.
+        with staged(together) as kept:
+            labels = split(kept)
+            overwrite_partition(labels.game, paths.game, at)
+            overwrite_partition(labels.ug, paths.ug, at)
+            overwrite_partition(labels.ecom, paths.ecom, at)
+    return split(together)
 
 
 def run_mining(
