@@ -21,12 +21,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import permuted, staged, word_count
+from .common import cut, permuted, staged, word_count
 
 WEIGHTS = (1, 2, 3)
 MAX_ROUNDS = 3
 BLOCK_WORDS = 64
 SHARD_SLOTS = 4096
+# A plan of up to so many sources, some sixty bytes each, is broadcast.
+SMALL_PLAN = 50_000
 # Documents of a source are run up in groups of about this many.
 GROUP_ROWS = 4096
 # Slots of a source are made in pieces of this many.
@@ -82,14 +84,15 @@ def source_targets(
     )
 
 
-def place_documents(sizes: DataFrame, targets: DataFrame) -> DataFrame:
+def place_documents(sizes: DataFrame, targets: DataFrame, small: bool) -> DataFrame:
     """Give each row its first word's place in its source's stream: column `start`.
 
-    Rows are grouped by a hash of doc_id, group sums are run up per source, and
+    `small`: the targets may be broadcast. Rows are grouped by a hash of doc_id, group sums are run up per source, and
     rows within their group, so a source with any share of all rows is spread.
     """
     groups = F.greatest(_long(1), F.ceil(F.col("n_rows") / GROUP_ROWS).cast("bigint"))
-    placed = sizes.join(F.broadcast(targets), sizes["source"].eqNullSafe(targets["source"])).select(
+    plan = F.broadcast(targets) if small else targets
+    placed = sizes.join(plan, sizes["source"].eqNullSafe(targets["source"])).select(
         sizes["doc_id"],
         sizes["size"],
         targets["source_no"],
@@ -178,9 +181,10 @@ def mixed_words(
     sizes = staged(
         docs.select("doc_id", "source", word_count("text").alias("size")), "sizes"
     )
-    # One row per source: as few rows as a mixing plan can list.
-    targets = source_targets(sizes, weights, max_rounds)
-    placed = place_documents(sizes, targets)
+    # One row per source, made once for all that read it.
+    targets = cut(source_targets(sizes, weights, max_rounds))
+    small = targets.count() <= SMALL_PLAN
+    placed = place_documents(sizes, targets, small)
     drawn = draw_slots(targets, block_words, SHARD_SLOTS, max_rounds, seed)
     times = drawn.groupBy("source_no", "block").agg(F.count(F.lit(1)).alias("_times"))
     end = F.col("start") + F.col("size")
@@ -208,7 +212,8 @@ def mixed_words(
     found = placed.where("size > 0").join(taken.hint("merge"), ["source_no", "start"], "left")
     found = found.select("doc_id", "source_no", "size", F.coalesce("taken", _long(0)).alias("taken"))
     rest = placed.where("size = 0").select("doc_id", "source_no", "size", _long(0).alias("taken"))
-    plan = F.broadcast(targets.select("source_no", "source", "source_size", "target"))
+    plan = targets.select("source_no", "source", "source_size", "target")
+    plan = F.broadcast(plan) if small else plan
     return found.unionByName(rest).join(plan, "source_no").select(
         "doc_id", "source", "size", "source_size", "target", "taken"
     )
