@@ -91,12 +91,13 @@ def place_documents(sizes: DataFrame, targets: DataFrame, small: bool) -> DataFr
     rows within their group, so a source with any share of all rows is spread.
     """
     groups = F.greatest(_long(1), F.ceil(F.col("n_rows") / GROUP_ROWS).cast("bigint"))
-    plan = F.broadcast(targets) if small else targets
-    placed = sizes.join(plan, sizes["source"].eqNullSafe(targets["source"])).select(
-        sizes["doc_id"],
-        sizes["size"],
-        targets["source_no"],
-        F.pmod(F.xxhash64(sizes["doc_id"]), groups).alias("_group"),
+    plan = targets.select(F.col("source").alias("_source"), "source_no", "n_rows")
+    plan = F.broadcast(plan) if small else plan
+    placed = sizes.join(plan, F.col("source").eqNullSafe(F.col("_source"))).select(
+        "doc_id",
+        "size",
+        "source_no",
+        F.pmod(F.xxhash64("doc_id"), groups).alias("_group"),
     )
     none, before = _long(0), (Window.unboundedPreceding, -1)
     sums = placed.groupBy("source_no", "_group").agg(F.sum("size").alias("_n"))
