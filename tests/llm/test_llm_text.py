@@ -232,3 +232,53 @@ def test_edges(spark, operator):
     rows += [(3, "Very Long " * 40_000, "en", "s", None) + rest]
     got = operator(spark.createDataFrame(rows, extra)).collect()
     assert sorted(str(r["doc_id"]) for r in got) == sorted(["1", "1", "1", "None", "2", "3"])
+
+
+def test_near_lines_are_found_by_length(spark):
+    """Share found of lines with an edit within the distance, by length and kind of edit."""
+    import random
+
+    rng = random.Random(5)
+    syllables = [a + b for a in "bdfgklmnprstvz" for b in ("a", "e", "i", "o", "u", "an", "er", "is")]
+
+    def word():
+        return "".join(rng.choice(syllables) for _ in range(rng.randint(1, 3)))
+
+    def letters(line, edits):
+        line = list(line)
+        for k in rng.sample([k for k, x in enumerate(line) if x != " "], edits):
+            line[k] = "x"
+        return "".join(line)
+
+    def replaced(line, _):
+        parts = line.split()
+        k = rng.randrange(len(parts))
+        return " ".join(parts[:k] + ["y" * len(parts[k])] + parts[k + 1 :])
+
+    kinds = {"letter": letters, "word": replaced, "twentieth": letters}
+    texts, where = [], {}
+    for length in (30, 60, 120, 240, 480):
+        for kind, edit in kinds.items():
+            if kind == "word" and length < 80:
+                continue
+            for _ in range(40):
+                line = word()
+                while len(line) < length:
+                    line += " " + word()
+                texts.append(line)
+                where[len(texts)] = (length, kind)
+                texts.append(edit(line, 1 if kind == "letter" else length // 20))
+    texts.append("这是一个没有空格的很长的句子里面只有一个字不同其余的字都是一样的请看看")
+    where[len(texts)] = (35, "spaceless")
+    texts.append("这是一个没有空格的很长的句子里面只有一个字不同其余的字都是一样的请瞧看")
+    gone = {r["doc_id"] for r in line_report(table(spark, texts)).collect() if r["n_dropped"]}
+    assert gone <= set(where)
+    found = {}
+    for place, kind in where.items():
+        found.setdefault(kind, []).append(place in gone)
+    shares = {kind: sum(x) / len(x) for kind, x in found.items()}
+    print(shares)
+    for length, least in ((30, 0.4), (60, 0.8), (120, 0.9), (240, 0.95), (480, 0.95)):
+        assert shares[length, "letter"] >= least
+    assert shares[120, "word"] >= 0.5 and shares[240, "word"] >= 0.8 and shares[480, "word"] >= 0.9
+    assert shares[35, "spaceless"] == 1
