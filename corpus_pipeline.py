@@ -17,16 +17,13 @@ from tallyward.llm.minhash import near_duplicates
 from tallyward.llm.mixing import mixed_words
 from tallyward.llm.packing import pack_documents
 
-# Below this score a text is in no language that was learned. A score is 0.5 where
-# one language's function of the text is 0, and at least 0.25 for any of four.
-LEAST_SCORE = 0.25
 TOKENIZER, END_ID = "byte_bpe_50k.json", 0
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without text, without letters, or in no language learned go."""
     reach(spark)
-    return in_known_language(docs, fit(docs), LEAST_SCORE)
+    return in_known_language(docs, fit(docs))
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -8,6 +8,10 @@ Nyström approximation of the kernel, and ridge regression on it, one language
 against the rest, gives weights per landmark. Scoring is batched: a matrix of
 feature sets times the landmarks' sets, then times the weights.
 
+What part of a text's kernel norm its projection on the landmarks keeps tells whether
+it is in a learned language at all. The least part is learned from the sample, by the
+number of features, each landmark projected on the others only.
+
 A text that is NULL or has no letter is `und` with score 0. Documents without a
 label, or held out, are not learned from; languages beyond MAX_LANGS, the rarest
 ones, are not learned. Without any label all texts are `und`. Repeated rows are
@@ -33,6 +37,12 @@ PER_LANG = 200
 MAX_LANGS = 64
 LANDMARKS = 160
 RIDGE = 0.1
+# A text of a learned language keeps at least this share of what nearly all of the sample keep
+# (all but KEPT_BELOW in a hundred) that have as many features to within a factor of two.
+KEPT_SHARE = 0.5
+KEPT_BELOW = 1
+# Sizes of which the sample has fewer texts take the next smaller size's least part.
+ENOUGH = 5
 # Texts scored at a time.
 ROWS = 256
 UNKNOWN = "und"
@@ -42,11 +52,33 @@ LETTER = r"\p{L}"
 
 @dataclass(frozen=True)
 class Model:
-    """Landmark feature sets scaled by their norms, weights per landmark, languages."""
+    """Landmark feature sets scaled by their norms, weights per landmark, languages.
+
+    root maps kernel values to coordinates; least has the least part by size class.
+    """
 
     landmarks: np.ndarray
     weights: np.ndarray
     langs: tuple[str, ...]
+    root: np.ndarray
+    least: np.ndarray
+
+
+def size_classes(sets: np.ndarray) -> np.ndarray:
+    """Texts of as many features to within a factor of two have one class."""
+    return np.log2(np.maximum((sets > 0).sum(axis=1), 1)).astype(np.int64)
+
+
+def least_parts(parts: np.ndarray, classes: np.ndarray) -> np.ndarray:
+    """Least part per size class; 0 where neither it nor a smaller one has texts enough."""
+    least = np.zeros(int(np.log2(FEATURES)) + 1)
+    for k in range(len(least)):
+        own = parts[classes == k]
+        if len(own) >= ENOUGH:
+            least[k] = KEPT_SHARE * np.percentile(own, KEPT_BELOW)
+        elif k:
+            least[k] = least[k - 1]
+    return least
 
 
 def feature_sets(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -127,7 +159,8 @@ def fit(docs: DataFrame, per_lang: int = PER_LANG, landmarks: int = LANDMARKS) -
     turn = np.zeros(len(rows), dtype=np.int64)
     for lang in langs:
         turn[names == lang] = np.arange((names == lang).sum())
-    marks = sets[np.argsort(turn, kind="stable")[:landmarks]]
+    drawn = np.argsort(turn, kind="stable")[:landmarks]
+    marks = sets[drawn]
     value, vector = np.linalg.eigh(marks @ marks.T)
     kept = value > 1e-8 * value.max()
     root = vector[:, kept] / np.sqrt(value[kept])
@@ -138,26 +171,33 @@ def fit(docs: DataFrame, per_lang: int = PER_LANG, landmarks: int = LANDMARKS) -
     mapped_w, wanted_w = mapped * share, wanted * share
     ridge = mapped_w.T @ mapped_w + RIDGE / len(rows) * np.eye(mapped.shape[1])
     weights = root @ np.linalg.solve(ridge, mapped_w.T @ wanted_w)
-    return Model(marks.astype(np.float32), weights, langs)
+    parts = (mapped**2).sum(axis=1)
+    # What a landmark keeps on all others follows from the inverse of the kernel matrix.
+    parts[drawn] = 1 - 1 / np.diag(np.linalg.inv(marks @ marks.T + 1e-6 * np.eye(len(marks))))
+    least = least_parts(parts, size_classes(sets))
+    return Model(marks.astype(np.float32), weights, langs, root, least)
 
 
 def scored(model: Model | None, texts: pa.Array, lettered: np.ndarray):
-    """Names and scores of texts, in blocks of ROWS."""
+    """Names, scores, and whether each is in a learned language, in blocks of ROWS."""
     names: list[str] = [UNKNOWN] * len(texts)
-    scores = np.zeros(len(texts))
+    scores, known = np.zeros(len(texts)), np.zeros(len(texts), dtype=bool)
     if model is None:
-        return names, scores
+        return names, scores, known
     for at, data, bounds in runs(texts, 1_000_000):
         for low in range(0, len(bounds) - 1, ROWS):
             part = bounds[low : low + ROWS + 1]
             sets = feature_sets(data[part[0] : part[-1]], part - part[0])
-            value = unit_rows(sets) @ model.landmarks.T @ model.weights
+            kernel = unit_rows(sets) @ model.landmarks.T
+            value = kernel @ model.weights
+            parts = ((kernel @ model.root) ** 2).sum(axis=1)
+            known[at + low : at + low + len(sets)] = parts >= model.least[size_classes(sets)]
             best = value.argmax(axis=1)
             top = np.clip((value.max(axis=1) + 1) / 2, 0.0, 1.0)
             for k, (lang, sure) in enumerate(zip(best.tolist(), top.tolist()), at + low):
                 if lettered[k]:
                     names[k], scores[k] = model.langs[lang], sure
-    return names, scores
+    return names, scores, known
 
 
 def _lettered() -> F.Column:
@@ -172,7 +212,7 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lettered = np.array(batch.column(3).to_pylist(), dtype=bool)
-            names, scores = scored(sent.value, batch.column(2), lettered)
+            names, scores, _ = scored(sent.value, batch.column(2), lettered)
             yield pa.record_batch(
                 [batch.column(0), batch.column(1), pa.array(names, pa.string()), pa.array(scores)],
                 names=["doc_id", "held_out", "lang_pred", "score"],
@@ -187,17 +227,16 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     return rows.mapInArrow(score, "doc_id bigint, held_out boolean, lang_pred string, score double")
 
 
-def in_known_language(docs: DataFrame, model: Model | None, least: float) -> DataFrame:
-    """The rows of docs whose language is told with a score of `least` or more."""
+def in_known_language(docs: DataFrame, model: Model | None) -> DataFrame:
+    """The rows of docs that have letters and are in a language that was learned."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index("text")
 
     def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lettered = np.array(batch.column(batch.num_columns - 1).to_pylist(), dtype=bool)
-            names, scores = scored(sent.value, batch.column(at), lettered)
-            kept = (np.array(names) != UNKNOWN) & (scores >= least)
-            rows = batch.filter(pa.array(kept))
+            _, _, known = scored(sent.value, batch.column(at), lettered)
+            rows = batch.filter(pa.array(known & lettered))
             yield pa.record_batch(rows.columns[:-1], names=docs_columns)
 
     docs_columns = docs.columns

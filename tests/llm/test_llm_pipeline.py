@@ -151,3 +151,27 @@ def test_licence_query_matches_sql(spark):
     names = [d[0] for d in want.description]
     assert sorted(map(tuple, df.select(*names).collect()), key=repr) == sorted(want.fetchall(), key=repr)
     assert df.where(F.col("n_licence_lines") > 0).count() > 10
+
+
+def test_language_stage_drops_what_was_not_learned(spark, tmp_path):
+    """A planted unlearned language and letter noise go, texts of learned languages stay."""
+    rng = np.random.default_rng(4)
+
+    def text(parts, n):
+        return " ".join("".join(rng.choice(parts, int(rng.integers(1, 4)))) for _ in range(n))
+
+    learned = {"aa": ["the", "ing", "an", "er", "st"], "bb": ["eau", "que", "oi", "ré", "le"]}
+    rows = [
+        (100 * k + j, text(parts, 20 + 2 * j), lang, "s", None)
+        for k, (lang, parts) in enumerate(learned.items())
+        for j in range(60)
+    ]
+    letters = list("abcdefghijklmnopqrstuvwxyz")
+    other = [(1000 + j, text(["ква", "жду", "шо", "мы"], 20 + 6 * j), None, "s", None) for j in range(20)]
+    noise = [
+        (2000 + j, " ".join("".join(rng.choice(letters, 6)) for _ in range(20 + 6 * j)), None, "s", None)
+        for j in range(20)
+    ]
+    docs = spark.createDataFrame(rows + other + noise, DOCS)
+    stage = dict(corpus_pipeline.STAGES)["language"]
+    assert sorted(map(tuple, stage(spark, docs, str(tmp_path)).collect())) == rows
