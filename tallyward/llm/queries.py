@@ -16,6 +16,35 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
+# Integer inner products of every fiftieth row with all rows, exact as they stay below 2**53.
+NEGATIVES_SQL = """
+WITH sound AS (
+  SELECT DISTINCT vec_id,
+         CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id AS other, a.label = c.label AS same,
+         list_dot_product(a.v, c.v)::BIGINT AS score
+  FROM sound a JOIN sound c ON a.vec_id <> c.vec_id
+  WHERE a.vec_id % 50 = 0
+), near AS (
+  SELECT anchor_id, other AS positive_id, score AS positive_score
+  FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5
+)
+SELECT n.anchor_id, n.positive_id,
+       CAST(row_number() OVER best AS INTEGER) AS rank,
+       s.other AS negative_id, n.positive_score, s.score AS negative_score
+FROM near n JOIN scored s ON s.anchor_id = n.anchor_id AND NOT s.same
+ AND 50 * n.positive_score <= 100 * s.score AND 100 * s.score <= 95 * n.positive_score
+WINDOW best AS (PARTITION BY n.anchor_id, n.positive_id ORDER BY s.score DESC, s.other)
+QUALIFY row_number() OVER best <= 3
+"""
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -132,3 +161,22 @@ def op1_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline over the documents."""
     return corpus_pipeline.run(spark, sf_dir)
+
+
+@query("op11_hard_negatives", NEGATIVES_SQL)
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every fiftieth embedding, some labels changed first."""
+    from pyspark.sql import functions as F
+
+    from .negatives import hard_negatives
+
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(table(spark, sf_dir, "embeddings"), label=moved)
+
+
+@query("op12_word_table")
+def op12_word_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document through a table of distinct words, and the text they decode to."""
+    from .word_table import codec
+
+    return codec(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
