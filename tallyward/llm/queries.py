@@ -45,6 +45,50 @@ QUALIFY row_number() OVER best <= 3
 """
 
 
+# Every phrase counted in one statement; letters beyond A-Z keep their case.
+PHRASES_SQL = r"""
+WITH docs AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+  FROM documents
+), pieces AS (
+  SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM docs
+), worded AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), starts AS (
+  SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM worded
+), grams AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+  FROM starts, (SELECT unnest(range(1, 6)) AS k) WHERE i + k - 1 <= len(w)
+), sizes AS (
+  SELECT lang, count(*) AS n FROM starts GROUP BY lang
+), freq AS (
+  SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 100
+), cand AS (
+  SELECT lang, k, phrase, f, string_split(phrase, ' ') AS w FROM freq WHERE k > 1
+), cuts AS (
+  SELECT c.lang, c.phrase, c.f AS a, j AS cut, s.n,
+         array_to_string(w[1:j], ' ') AS first_part, array_to_string(w[j + 1:], ' ') AS rest
+  FROM cand c, (SELECT unnest(range(1, 5)) AS j), sizes s WHERE j < k AND s.lang = c.lang
+), scored AS (
+  SELECT c.lang, c.phrase, c.a, c.n, x.f AS l, y.f AS r,
+         (1000::HUGEINT * a * n) // (x.f::HUGEINT * y.f) AS score
+  FROM cuts c JOIN freq x ON x.lang = c.lang AND x.phrase = c.first_part
+  JOIN freq y ON y.lang = c.lang AND y.phrase = c.rest
+  QUALIFY row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY score, cut) = 1
+), around AS (
+  SELECT lang, array_to_string(w[s:s + m - 1], ' ') AS phrase, max(f) AS longer
+  FROM cand, (SELECT unnest(range(2, 5)) AS m), (SELECT unnest(range(1, 5)) AS s)
+  WHERE m < k AND s + m - 1 <= k GROUP BY ALL
+)
+SELECT s.lang, row_number() OVER best AS rank, s.phrase, s.a, s.l, s.r, s.n, s.score::BIGINT AS score
+FROM scored s LEFT JOIN around o ON o.lang = s.lang AND o.phrase = s.phrase
+WHERE o.longer IS NULL OR o.longer < s.a
+WINDOW best AS (PARTITION BY s.lang ORDER BY s.score DESC, s.a DESC, s.phrase)
+QUALIFY row_number() OVER best <= 2000
+"""
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -180,3 +224,11 @@ def op12_word_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .word_table import codec
 
     return codec(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
+@query("op13_phrases", PHRASES_SQL)
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Collocations of each language of the documents."""
+    from .phrases import collocations
+
+    return collocations(table(spark, sf_dir, "documents"))
