@@ -1,7 +1,7 @@
 """Collocations of two to five words, mined by SON partitioning.
 
-Tasks cut texts into words and keep them as shards of one language: distinct words and
-the text as numbers of them. A shard that holds a share w of its language's words is
+Texts are dealt to shards of one language, and a shard is kept as its distinct words and
+the texts as numbers of them. A shard that holds a share w of its language's words is
 mined completely at a local support of w times the global one, rounded up: a phrase
 that is frequent in the language is so in at least one shard. Inside a shard phrases
 grow word by word from frequent shorter ones. The union of local finds, less those
@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Callable, Iterator
-from itertools import count
+from itertools import count, groupby
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +35,11 @@ from .word_table import packed, unpacked
 
 SUPPORT = 100
 LONGEST = 5
-# Words of a shard, and text cut at once.
-SHARD_WORDS = 4_000_000
+# Text of a shard in bytes, at most but for a single longer text, and shards of a
+# language at least. With as many shards at every size, so is the local support.
+SHARD_BYTES = 24_000_000
+LEAST_SHARDS = 32
+# Text cut at once.
 SLICE_BYTES = 4_000_000
 
 # Marks that end a piece; words lie between blanks and tabs.
@@ -86,29 +89,44 @@ class Shard:
 
 
 def make_shards(docs: DataFrame) -> DataFrame:
-    """Shards of the documents (text, lang), each of one language."""
+    """Shards of the documents (text, lang), each of one language.
+
+    Rows are dealt to their language's shards by a hash of text, id and reading task, so
+    shards are of much the same size, and copies spread over them.
+    """
+    lang = F.coalesce("lang", F.lit("und")).alias("lang")
+    text = F.coalesce("text", F.lit("")).alias("text")
+    turn = F.xxhash64("text", "doc_id") + F.spark_partition_id()
+    ready = docs.select(lang, text, turn.alias("_turn"))
+    octets = ready.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("_octets"))
+    # One row per language. A join with it is broadcast only while Spark finds it small.
+    octets = staged(octets, "phrase-octets")
+    shards = F.greatest(F.lit(LEAST_SHARDS), F.ceil(F.col("_octets") / SHARD_BYTES))
+    dealt = ready.join(octets, "lang").select(
+        "lang", F.pmod("_turn", shards).cast("int").alias("_shard"), "text"
+    )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, turn = TaskContext.get().partitionId() << 32, count()
-        shards: dict[str, Shard] = {}
+        now, shard = None, None
         for batch in batches:
-            langs = batch.column(0).to_pylist()
-            texts = batch.column(1).cast(pa.binary()).to_pylist()
-            for at, some in slices(texts, SLICE_BYTES):
-                by: dict[str, list[bytes]] = defaultdict(list)
-                for lang, text in zip(langs[at:], some):
-                    by[lang].append(text)
-                for lang, mine in by.items():
-                    if lang not in shards:
-                        shards[lang] = Shard(task + next(turn), lang)
-                    shards[lang].add(mine)
-                    if shards[lang].n >= SHARD_WORDS:
-                        yield shards.pop(lang).row()
-        for shard in shards.values():
+            keys = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+            texts = batch.column(2).cast(pa.binary())
+            at = 0
+            for key, run in groupby(keys):
+                mine = texts.slice(at, len(list(run))).to_pylist()
+                at += len(mine)
+                if key != now:
+                    if shard is not None:
+                        yield shard.row()
+                    now, shard = key, Shard(task + next(turn), key[0])
+                for _, some in slices(mine, SLICE_BYTES):
+                    shard.add(some)
+        if shard is not None:
             yield shard.row()
 
-    ready = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
-    return ready.mapInArrow(cut, SHARD_DDL)
+    ordered = dealt.repartition("lang", "_shard").sortWithinPartitions("lang", "_shard")
+    return ordered.mapInArrow(cut, SHARD_DDL)
 
 
 class Mined:

@@ -2,10 +2,11 @@
 
 Texts are split into words in tasks. A block of consecutive texts keeps its distinct
 words once and every text as numbers of these words, so positions cost little more
-than the compressed text. Words of all blocks meet in one table where each distinct
-word is encoded once; ids go back to the blocks by (block, number) and from there to
-every position. Decoding joins the distinct ids of a block with the vocabulary's
-pieces and puts pieces at the ids' positions.
+than the compressed text. The words of all blocks are dealt to buckets by hash, and a
+bucket's distinct words are encoded once each; their ids go back to the blocks, one
+compressed row per block and bucket, and from there by number to every position.
+Decoding joins the blocks with the vocabulary's pieces, some thousand ids to a row, and
+puts pieces at the ids' positions.
 
 The tokenizer cuts at ASCII white space, so a text's ids are those of its words in a
 row. A word's ASCII letters are lowered as the tokenizer does it, and a full stop or
@@ -21,10 +22,11 @@ its block like many short ones. An empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import count
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -42,8 +44,12 @@ BLOCK_BYTES = 64_000_000
 BLOCK_WORDS = 600_000
 # Text split at once.
 SLICE_BYTES = 4_000_000
-# Words, or numbers of them, in one row of the staged table.
-ROW_WORDS = 20_000
+# Words in one row of the staged table, and in a bucket, some 200 bytes each there.
+ROW_WORDS = 100_000
+BUCKET_WORDS = 1_000_000
+# Buckets there are at least, and ids in one row of pieces.
+LEAST_BUCKETS = 64
+ROW_PIECES = 4096
 # Kinds of rows, in the order in which a block is put together.
 WORDS, PIECES, RAW, TEXTS = 1, 2, 3, 4
 # A full stop or comma that is a word of its own.
@@ -58,12 +64,13 @@ BLOCK_SCHEMA = pa.schema(
         ("doc_ids", pa.list_(pa.int64())),
         ("lengths", pa.list_(pa.int64())),
         ("codes", pa.binary()),
+        ("more", pa.binary()),
         ("words", pa.list_(pa.string())),
     ]
 )
 BLOCK_DDL = (
     "block bigint, kind int, no int, doc_ids array<bigint>, lengths array<bigint>, "
-    "codes binary, words array<string>"
+    "codes binary, more binary, words array<string>"
 )
 
 
@@ -72,7 +79,7 @@ def packed(numbers: np.ndarray) -> bytes:
     import zstandard
 
     planes = planes_of(numbers, "byte").tobytes()
-    return len(numbers).to_bytes(8, "little") + zstandard.ZstdCompressor(level=1).compress(planes)
+    return len(numbers).to_bytes(8, "little") + zstandard.ZstdCompressor(level=3).compress(planes)
 
 
 def unpacked(data: bytes) -> np.ndarray:
@@ -122,15 +129,27 @@ class Block:
         """The words to look up, and which of them each word of a text stands for."""
         stems: dict[bytes, int] = defaultdict(count().__next__)
         pairs = [stem_of(word) for word in self.codes]
-        first = np.fromiter((stems[s] for s, _ in pairs), dtype="<u4", count=len(pairs))
-        # 0 for no mark, else one more than the mark's number.
-        last = np.fromiter((stems[m] + 1 if m else 0 for _, m in pairs), dtype="<u4", count=len(pairs))
-        yield self.row(RAW, 0, codes=packed(np.concatenate([first, last])))
+        # A mark takes a number where it first occurs, like any other word.
+        numbers = np.fromiter((stems[w] for pair in pairs for w in pair if w), dtype=np.int64)
+        marked = np.fromiter((bool(m) for _, m in pairs), dtype="<u4", count=len(pairs))
+        yield self.row(RAW, 0, codes=packed(marked), more=packed(gaps(numbers)))
         words = [w.decode() for w in stems]
         for no, at in enumerate(range(0, len(words), ROW_WORDS)):
             yield self.row(WORDS, no, words=words[at : at + ROW_WORDS])
 
 
+def gaps(numbers: np.ndarray) -> np.ndarray:
+    """How far each number lies below the next new one; numbers are given in turn."""
+    top = np.concatenate([[-1], np.maximum.accumulate(numbers)[:-1]]) if len(numbers) else numbers
+    return top + 1 - numbers
+
+
+def numbers_of(found: np.ndarray) -> np.ndarray:
+    """The numbers whose gaps these are."""
+    new = found == 0
+    return np.cumsum(new) - new - found
+
+
 def split_words(docs: DataFrame) -> DataFrame:
     """Blocks of the documents: rows of words, of word numbers per text, and of stems."""
 
@@ -183,34 +202,87 @@ def encode_words(path: str, words: list[str]) -> list[list[int]]:
     return [found[w] for w in words]
 
 
-def word_ids(words: DataFrame, path: str) -> DataFrame:
-    """The distinct-word table (word, ids) of a column `word`; each word is encoded once."""
+def bucket_words(blocks: DataFrame) -> DataFrame:
+    """Words by bucket: (bucket, block, places, words), the words compressed in order."""
+    held = blocks.where(F.col("kind") == WORDS)
+    total = held.agg(F.coalesce(F.sum(F.size("words")), F.lit(0))).first()[0]
+    buckets = max(LEAST_BUCKETS, -(-total // BUCKET_WORDS))
 
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        press = zstandard.ZstdCompressor(level=3)
         for batch in batches:
-            ids = encode_words(path, batch.column(0).to_pylist())
-            yield pa.record_batch({"word": batch.column(0), "ids": pa.array(ids, pa.list_(pa.int32()))})
+            for r in range(batch.num_rows):
+                block, no, words = (batch.column(c)[r].as_py() for c in range(3))
+                by: dict[int, list[tuple[bytes, int]]] = defaultdict(list)
+                for place, word in enumerate(words, no * ROW_WORDS):
+                    octets = word.encode()
+                    by[zlib.crc32(octets) % buckets].append((octets, place))
+                keys, places, packs = list(by), [], []
+                for some in map(sorted, by.values()):
+                    places.append(packed(np.array([p for _, p in some])))
+                    packs.append(press.compress(b" ".join(w for w, _ in some)))
+                yield pa.record_batch(
+                    {
+                        "bucket": pa.array(keys, pa.int32()),
+                        "block": pa.array([block] * len(keys), pa.int64()),
+                        "places": pa.array(places, pa.binary()),
+                        "words": pa.array(packs, pa.binary()),
+                    }
+                )
+
+    return held.select("block", "no", "words").mapInArrow(
+        deal, "bucket int, block bigint, places binary, words binary"
+    )
 
-    return words.select("word").distinct().mapInArrow(encode, "word string, ids array<int>")
 
+def word_ids(bucketed: DataFrame, path: str) -> DataFrame:
+    """(block, places, sizes, ids): every distinct word of a bucket is encoded once."""
 
-def id_pieces(spark, path: str) -> DataFrame:
-    """The vocabulary as rows (id, piece); its size is fixed by the tokenizer's file."""
-    pieces = tokenizer(path).get_vocab(with_added_tokens=True)
-    return spark.createDataFrame([(i, p) for p, i in pieces.items()], "id int, piece string")
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        press, now, known = zstandard.ZstdDecompressor(), None, {}
+        for batch in batches:
+            buckets = batch.column(0).to_pylist()
+            sizes, ids = [], []
+            for bucket, data in zip(buckets, batch.column(3).to_pylist()):
+                if bucket != now:
+                    now, known = bucket, {}
+                words = press.decompress(data).decode().split(" ")
+                new = [w for w in words if w not in known]
+                known.update(zip(new, encode_words(path, new)))
+                found = [known[w] for w in words]
+                sizes.append(packed(np.array([len(f) for f in found])))
+                ids.append(packed(np.fromiter(chain.from_iterable(found), dtype=np.int64)))
+            yield pa.record_batch(
+                {
+                    "block": batch.column(1),
+                    "places": batch.column(2),
+                    "sizes": pa.array(sizes, pa.binary()),
+                    "ids": pa.array(ids, pa.binary()),
+                }
+            )
+
+    dealt = bucketed.repartition("bucket").sortWithinPartitions("bucket")
+    return dealt.mapInArrow(encode, "block bigint, places binary, sizes binary, ids binary")
 
 
-def _block_words(blocks: DataFrame) -> DataFrame:
-    """(block, no, word): the words of each block with their numbers."""
-    rows = blocks.where(F.col("kind") == WORDS)
-    return rows.select("block", F.col("no").alias("_row"), F.posexplode("words").alias("_at", "word")).select(
-        "block", (F.col("_row") * ROW_WORDS + F.col("_at")).alias("no"), "word"
-    )
+def id_pieces(spark, path: str) -> DataFrame:
+    """The vocabulary as rows (no, pieces) of ROW_PIECES ids each, from no * ROW_PIECES on."""
+    names = {i: p for p, i in tokenizer(path).get_vocab(with_added_tokens=True).items()}
+    rows = [
+        (no, [names.get(no * ROW_PIECES + k) for k in range(ROW_PIECES)])
+        for no in range(max(names) // ROW_PIECES + 1)
+    ]
+    return spark.createDataFrame(rows, "no int, pieces array<string>")
 
 
-def _spread(values: np.ndarray, sizes: np.ndarray, picks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Runs of `values`, of the given sizes, picked in a row; and the picked sizes."""
-    starts = np.concatenate([[0], np.cumsum(sizes)])[:-1]
+def _spread(
+    values: np.ndarray, starts: np.ndarray, sizes: np.ndarray, picks: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of `values`, of given starts and sizes, picked in a row; and the picked sizes."""
     taken = sizes[picks]
     ends = np.cumsum(taken)
     total = int(ends[-1]) if len(ends) else 0
@@ -218,31 +290,35 @@ def _spread(values: np.ndarray, sizes: np.ndarray, picks: np.ndarray) -> tuple[n
     return values[at], taken
 
 
+def _bounds(sizes: np.ndarray) -> np.ndarray:
+    return np.concatenate([[0], np.cumsum(sizes)])
+
+
 class Assembly:
     """The tables of one block while its texts are put together."""
 
     def __init__(self):
+        self.places: list[np.ndarray] = []
         self.sizes: list[np.ndarray] = []
         self.ids: list[np.ndarray] = []
         self.pieces: dict[int, bytes] = {}
 
-    def words(self, ids: pa.ListArray) -> None:
-        self.sizes.append(ids.value_lengths().to_numpy(zero_copy_only=False))
-        self.ids.append(ids.flatten().to_numpy(zero_copy_only=False))
+    def words(self, places: bytes, sizes: bytes, ids: bytes) -> None:
+        for held, data in ((self.places, places), (self.sizes, sizes), (self.ids, ids)):
+            held.append(unpacked(data).astype(np.int64))
 
-    def close(self, raw: bytes) -> None:
+    def close(self, marked: bytes, found: bytes) -> None:
         """Ids and decoded text of every word that stands in a text."""
-        both = unpacked(raw).astype(np.int64)
-        first, last = np.split(both, 2)
-        stems = np.stack([first, last - 1], axis=1).reshape(-1)
-        marked = last > 0
-        stems = stems[np.stack([np.ones_like(marked), marked], axis=1).reshape(-1)]
-        values, sizes = np.concatenate(self.ids), np.concatenate(self.sizes).astype(np.int64)
-        self.values, per_stem = _spread(values, sizes, stems)
-        ends = np.cumsum(1 + marked)
-        sums = np.concatenate([[0], np.cumsum(per_stem)])
-        bounds = sums[np.concatenate([[0], ends])]
-        self.n = np.diff(bounds)
+        none = np.empty(0, dtype=np.int64)
+        places, found_sizes, values = (
+            np.concatenate([none, *held]) for held in (self.places, self.sizes, self.ids)
+        )
+        starts, sizes = np.empty_like(places), np.empty_like(places)
+        starts[places], sizes[places] = _bounds(found_sizes)[:-1], found_sizes
+        stems = numbers_of(unpacked(found).astype(np.int64))
+        self.values, per_stem = _spread(values, starts, sizes, stems)
+        bounds = _bounds(per_stem)[_bounds(1 + unpacked(marked).astype(np.int64))]
+        self.starts, self.n = bounds[:-1], np.diff(bounds)
         flat = [self.pieces[i] for i in self.values.tolist()]
         edges = bounds.tolist()
         self.decoded = [b" ".join(flat[a:b]) for a, b in zip(edges, edges[1:])]
@@ -251,9 +327,8 @@ class Assembly:
     def texts(self, keys: list, lengths: list[int], codes: bytes) -> Iterator[tuple]:
         """(doc_id, ids, decoded text in UTF-8) of each text in a row of the block."""
         picks = unpacked(codes).astype(np.int64)
-        ids, taken = _spread(self.values, self.n, picks)
-        ids = ids.astype("<u4")
-        sums = np.concatenate([[0], np.cumsum(taken)])
+        ids, taken = _spread(self.values, self.starts, self.n, picks)
+        ids, sums = ids.astype("<u4"), _bounds(taken)
         at = 0
         for key, length in zip(keys, lengths):
             mine = picks[at : at + length]
@@ -264,6 +339,9 @@ class Assembly:
             at += length
 
 
+PART_COLUMNS = (
+    "block", "kind", "no", "places", "sizes", "ids", "pieces", "doc_ids", "lengths", "codes", "more",
+)
 OUT = pa.schema(
     [
         ("doc_id", pa.int64()),
@@ -283,49 +361,45 @@ def codec(docs: DataFrame, path: str, whole: bool = False) -> DataFrame:
     """
     spark = docs.sparkSession
     blocks = staged(split_words(docs), "word-blocks", compression="zstd")
-    words = _block_words(blocks)
-    found = words.join(word_ids(words, path), "word").select("block", "no", "ids")
-    ids = found.select("block", F.explode("ids").alias("id")).distinct()
-    # As many rows as the tokenizer's vocabulary has entries.
-    pieces = ids.join(F.broadcast(id_pieces(spark, path)), "id")
-    rest = blocks.where(F.col("kind").isin(RAW, TEXTS)).drop("words")
+    found = word_ids(bucket_words(blocks), path).withColumns({"kind": F.lit(WORDS), "no": F.lit(0)})
+    # As many rows as the tokenizer's vocabulary asks for.
+    vocabulary = id_pieces(spark, path)
+    rows = F.sequence(F.lit(0), F.lit(vocabulary.count() - 1))
+    pieces = (
+        blocks.where(F.col("kind") == RAW)
+        .select("block", F.explode(rows).alias("no"))
+        .join(F.broadcast(vocabulary), "no")
+        .withColumn("kind", F.lit(PIECES))
+    )
     parts = (
-        rest.withColumns({"ids": F.lit(None).cast("array<int>"), "piece": F.lit(None).cast("string")})
-        .unionByName(found.withColumn("kind", F.lit(WORDS)), allowMissingColumns=True)
-        .unionByName(
-            pieces.select("block", F.lit(PIECES).alias("kind"), F.col("id").alias("no"), "piece"),
-            allowMissingColumns=True,
-        )
-        .select("block", "kind", "no", "ids", "piece", "doc_ids", "lengths", "codes")
+        blocks.where(F.col("kind").isin(RAW, TEXTS))
+        .drop("words")
+        .unionByName(found, allowMissingColumns=True)
+        .unionByName(pieces, allowMissingColumns=True)
+        .select(*PART_COLUMNS)
     )
     schema = pa.schema(list(OUT) if whole else list(OUT)[:4])
 
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, now = Assembly(), None
         for batch in batches:
-            marks = np.stack([batch.column(k).to_numpy() for k in (0, 1)])
-            cuts = np.flatnonzero((marks[:, 1:] != marks[:, :-1]).any(axis=0)) + 1
-            edges = [0, *cuts.tolist(), batch.num_rows]
-            for a, b in zip(edges, edges[1:]):
-                if a == b:
-                    continue
-                part = batch.slice(a, b - a)
-                block, kind = int(marks[0, a]), int(marks[1, a])
+            for r in range(batch.num_rows):
+                row = {name: batch.column(c)[r] for c, name in enumerate(PART_COLUMNS)}
+                block, kind = row["block"].as_py(), row["kind"].as_py()
                 if block != now:
                     held, now = Assembly(), block
                 if kind == WORDS:
-                    held.words(part.column(3))
+                    held.words(*(row[c].as_py() for c in ("places", "sizes", "ids")))
                 elif kind == PIECES:
-                    texts = part.column(4).cast(pa.binary()).to_pylist()
-                    held.pieces.update(zip(part.column(2).to_pylist(), texts))
+                    first = row["no"].as_py() * ROW_PIECES
+                    held.pieces |= {
+                        first + k: p.encode() for k, p in enumerate(row["pieces"].as_py()) if p is not None
+                    }
                 elif kind == RAW:
-                    if not held.sizes:
-                        held.words(pa.array([], pa.list_(pa.int32())))
-                    held.close(part.column(7)[0].as_py())
+                    held.close(row["codes"].as_py(), row["more"].as_py())
                 else:
-                    for r in range(part.num_rows):
-                        row = [part.column(k)[r].as_py() for k in (5, 6, 7)]
-                        yield _answer(held.texts(*row), schema, whole)
+                    texts = held.texts(*(row[c].as_py() for c in ("doc_ids", "lengths", "codes")))
+                    yield _answer(texts, schema, whole)
 
     ordered = parts.repartition("block").sortWithinPartitions("block", "kind", "no")
     ddl = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
