@@ -13,9 +13,23 @@ from pyspark.sql import functions as F
 
 from ..functions.predicates import Condition, all_of
 from ..operators.entity import FeatureGroup, entity_features, passes
-from ..operators.groups import GROUP_KEYS, GroupSpec, group_features, to_feature_json
+from ..operators.groups import (
+    GROUP_KEYS,
+    GroupSpec,
+    group_features,
+    group_features_rolled_up,
+    to_feature_json,
+)
+from ..operators.hourly import hour_parts, kept_tables, window_features
 from ..operators.labels import all_labels
-from ..operators.merge import MergedFeature, merge_wide, population_stats
+from ..operators.merge import (
+    MergedFeature,
+    merge_parts,
+    merge_wide,
+    population_of_parts,
+    population_stats,
+    wide_of_parts,
+)
 from ..operators.rules import (
     Strategy,
     good_rules,
@@ -25,13 +39,17 @@ from ..operators.rules import (
     strategies_json,
 )
 from ..sources.tables import (
+    Table,
+    hours_before,
     merge_output_path,
+    overwrite_hours,
     overwrite_kinds,
     overwrite_partition,
     read_features,
     read_group_features,
     read_performance,
     read_strategies,
+    read_table,
     staged,
     write_delimited,
 )
@@ -73,6 +91,67 @@ def run_entity_features(
     return long
 
 
+def _parts_path(path: str, group: FeatureGroup, name: str, version: str) -> str:
+    return f"{path.rstrip('/')}/{group.name}/{version}/{name}"
+
+
+def run_hour_parts(
+    source: Source, group: FeatureGroup, date: str, hour: str, version: str, path: str
+) -> None:
+    """Keep the parts of one hour, read once; an hour without rows is kept as empty."""
+    log = source(date, hour, 1)
+    for kept in kept_tables(group):
+        parts = hour_parts(log, group, kept)
+        overwrite_partition(
+            parts, _parts_path(path, group, kept.name, version), {"date": date, "hour": hour}
+        )
+
+
+def backfill_hour_parts(log: DataFrame, group: FeatureGroup, version: str, path: str) -> None:
+    """Keep the parts of every hour of a log with `date` and `hour`, in one pass a table."""
+    for kept in kept_tables(group):
+        parts = hour_parts(log, group, kept, ("date", "hour"))
+        overwrite_hours(parts, _parts_path(path, group, kept.name, version))
+
+
+def run_window_features(
+    empty_log: DataFrame,
+    group: FeatureGroup,
+    parts_path: str,
+    date: str,
+    hour: str,
+    hours: int,
+    version: str,
+    path: str | None = None,
+    missing_is_empty: bool = False,
+) -> DataFrame:
+    """All features of the `hours` hours that end with (date, hour), from hourly parts.
+
+    The log is not read; `empty_log` only has its columns. An hour that was never kept
+    is an error unless `missing_is_empty`, as after a backfill, which keeps no empty ones.
+    """
+    spark = empty_log.sparkSession
+    wanted = hours_before(date, hour, hours)
+    found = []
+    for kept in kept_tables(group):
+        schema = hour_parts(empty_log, group, kept).schema
+        names = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+        table = Table(names, ("date", "hour"))
+        rows = read_table(
+            spark,
+            _parts_path(parts_path, group, kept.name, version),
+            table,
+            [{"date": d, "hour": h} for d, h in wanted],
+            all_there=not missing_is_empty,
+        )
+        found.append((kept, rows))
+    long = window_features(found, empty_log)
+    if path is not None:
+        values = {"date": date, "hour": hour, "group": group.name, "version": version}
+        overwrite_kinds(long, path, values, "aggregator_type", group.kinds)
+    return long
+
+
 @dataclass(frozen=True)
 class MergeSpec:
     """Which long features become columns, and where they come from."""
@@ -96,7 +175,11 @@ def run_merge(
     table_path: str | None = None,
     text_root: str | None = None,
 ) -> tuple[DataFrame, DataFrame | None]:
-    """The wide table and, if asked for, the population statistics."""
+    """The wide table and, if asked for, the population statistics.
+
+    Where both are written, the long table is read and pivoted once, and both are taken
+    from the parts per entity that this gives.
+    """
     long = read_features(
         spark,
         features_path,
@@ -110,12 +193,24 @@ def run_merge(
     wide = merge_wide(long, spec.features, spec.dkey)
     stats = population_stats(long, spec.features) if spec.population else None
     at = (spec.group, spec.version, date, hour)
-    if text_root is not None and stats is not None:
-        write_delimited(stats, merge_output_path(text_root, "population_stats", *at))
-    if table_path is not None:
-        overwrite_partition(wide, table_path, {"date": date, "hour": hour})
-    if text_root is not None:
-        write_delimited(wide, merge_output_path(text_root, "feature", *at))
+
+    def write(wide: DataFrame, stats: DataFrame | None) -> None:
+        if text_root is not None and stats is not None:
+            write_delimited(stats, merge_output_path(text_root, "population_stats", *at))
+        if table_path is not None:
+            overwrite_partition(wide, table_path, {"date": date, "hour": hour})
+        if text_root is not None:
+            write_delimited(wide, merge_output_path(text_root, "feature", *at))
+
+    outputs = (table_path is not None) + (text_root is not None) * (1 + spec.population)
+    if outputs > 1:
+        with staged(merge_parts(long, spec.features)) as parts:
+            write(
+                wide_of_parts(parts, spec.features, spec.dkey),
+                population_of_parts(parts, spec.features) if spec.population else None,
+            )
+    else:
+        write(wide, stats)
     return wide, stats
 
 
@@ -126,9 +221,17 @@ def run_group_features(
     hour: str,
     hours: int,
     path: str | None = None,
+    roll_up: bool = False,
+    finer: Sequence[str] = (),
 ) -> DataFrame:
-    """Feature JSON of every pattern of every schema; the version is the group name."""
-    table = to_feature_json(group_features(source(date, hour, hours), spec))
+    """Feature JSON of every pattern of every schema; the version is the group name.
+
+    With `roll_up`, coarser schemas are derived from finer ones, see
+    `group_features_rolled_up`.
+    """
+    log = source(date, hour, hours)
+    wide = group_features_rolled_up(log, spec, finer) if roll_up else group_features(log, spec)
+    table = to_feature_json(wide)
     if path is not None:
         overwrite_partition(
             table, path, {"date": date, "hour": hour, "version": spec.name}

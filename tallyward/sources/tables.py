@@ -7,10 +7,12 @@ Spark guess it ("08" stays "08").
 from __future__ import annotations
 
 import re
+import tempfile
 import uuid
 from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
+from datetime import datetime, timedelta
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -57,18 +59,82 @@ def _partition_filter(values: Mapping[str, str | Sequence[str]]) -> Column:
     return reduce(lambda a, b: a & b, conditions, F.lit(True))
 
 
+def _existing(spark: SparkSession, root: str, paths: Sequence[str]) -> list[str]:
+    """Those of the folders below `root` that exist, asked for level by level, none listed."""
+    place = spark._jvm.org.apache.hadoop.fs.Path
+    files = place(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    known = {root.rstrip("/"): True}
+
+    def there(path: str) -> bool:
+        if path not in known:
+            known[path] = there(path.rsplit("/", 1)[0]) and files.exists(place(path))
+        return known[path]
+
+    return [p for p in paths if there(p)]
+
+
+def partition_folders(
+    path: str, table: Table, partitions: Mapping[str, str | Sequence[str]]
+) -> list[str]:
+    """Folders of the given values, as deep as values are given from the outermost level on."""
+    folders = [path.rstrip("/")]
+    for name in table.partitions:
+        if name not in partitions:
+            break
+        given = partitions[name]
+        texts = [given] if isinstance(given, str) else list(dict.fromkeys(given))
+        folders = [partition_path(f, {name: t}) for f in folders for t in texts]
+    return folders
+
+
 def read_table(
     spark: SparkSession,
     path: str,
     table: Table,
-    partitions: Mapping[str, str | Sequence[str]],
+    partitions: Mapping[str, str | Sequence[str]] | Sequence[Mapping[str, str]],
     skip_corrupt_files: bool = False,
+    all_there: bool = False,
 ) -> DataFrame:
-    """A table's rows in the given partitions; other partitions are not listed."""
-    reader = spark.read.schema(table.schema)
+    """A table's rows in the given partitions; or in those of several sets of values.
+
+    Only their folders are listed: from the outermost level on, values make up paths as
+    far as they are given, and levels below the first one left out are filtered as
+    Spark lists them. Partitions that were never written have no rows, or are an error
+    if all of them have to be there.
+    """
+    several = [partitions] if isinstance(partitions, Mapping) else list(partitions)
+    wanted = [f for values in several for f in partition_folders(path, table, values)]
+    folders = _existing(spark, path, wanted)
+    if all_there and len(folders) < len(wanted):
+        gone = sorted(set(wanted) - set(folders))
+        raise ValueError(f"{len(gone)} partitions were never written, the first is {gone[0]}")
+    if not folders:
+        return spark.createDataFrame([], table.schema)
+    reader = spark.read.schema(table.schema).option("basePath", path)
     if skip_corrupt_files:
         reader = reader.option("ignoreCorruptFiles", "true")
-    return reader.parquet(path).where(_partition_filter(partitions))
+    rows = reader.parquet(*folders)
+    return rows.where(_partition_filter(partitions)) if isinstance(partitions, Mapping) else rows
+
+
+def hours_before(date: str, hour: str, hours: int) -> list[tuple[str, str]]:
+    """(date, hour) of the `hours` hours that end with the given one, oldest first."""
+    if hours < 1:
+        raise ValueError("a trailing window has at least one hour")
+    end = datetime.strptime(f"{date} {str(hour).zfill(2)}", "%Y%m%d %H")
+    each = [end - timedelta(hours=back) for back in reversed(range(hours))]
+    return [(t.strftime("%Y%m%d"), t.strftime("%H")) for t in each]
+
+
+def overwrite_hours(df: DataFrame, path: str) -> None:
+    """Replace the (date, hour) partitions that have rows, and no others, in one write."""
+    (
+        df.hint("rebalance", F.col("date"), F.col("hour"))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("date", "hour")
+        .parquet(path)
+    )
 
 
 def read_features(
@@ -129,10 +195,6 @@ def overwrite_partition(df: DataFrame, path: str, values: Mapping[str, str]) ->
     df.write.mode("overwrite").parquet(partition_path(path, values))
 
 
-# Tasks that write one kind of features.
-KIND_TASKS = 256
-
-
 def overwrite_kinds(
     df: DataFrame,
     path: str,
@@ -156,10 +218,10 @@ def overwrite_kinds(
         ],
     )
     full = counted.withColumns({k: F.lit(v) for k, v in values.items()})
-    # A kind's rows go to a few tasks instead of a file from every task.
-    turn = F.pmod(F.xxhash64(*df.columns), F.lit(KIND_TASKS))
-    full = full.repartition(F.col(kind_column), turn)
     order = list(table.partitions)
+    # Adaptive execution cuts a rebalanced kind into files of its advisory size, be it
+    # large or small, instead of one file of every kind from every task.
+    full = full.hint("rebalance", F.col(kind_column))
     (
         full.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -173,12 +235,23 @@ def overwrite_kinds(
             overwrite_partition(empty, path, {k: at[k] for k in order})
 
 
-def _shared_folder(spark: SparkSession) -> str:
-    """The folder that the cluster names for checkpoints."""
+_own_folder: list[str] = []
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the cluster names for checkpoints.
+
+    Where none is named, a temporary folder serves a session that runs in one process;
+    for any other master that is an error, as its executors would not see it.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
+    if named:
+        return named.rstrip("/")
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.conf.get("spark.master", "")):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    return named.rstrip("/")
+    if not _own_folder:
+        _own_folder.append("file://" + tempfile.mkdtemp(prefix="tallyward-"))
+    return _own_folder[0]
 
 
 @contextmanager
@@ -189,7 +262,7 @@ def staged(df: DataFrame) -> Iterator[DataFrame]:
     lost executors; it is dropped at the end.
     """
     spark = df.sparkSession
-    path = f"{_shared_folder(spark)}/stage-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/stage-{uuid.uuid4().hex}"
     df.write.parquet(path)
     try:
         yield spark.read.schema(df.schema).parquet(path)

@@ -2,8 +2,15 @@ import math
 
 import pytest
 
-from helpers import rows
-from tallyward.operators.merge import MergedFeature, merge_wide, population_stats
+from helpers import close, rows
+from tallyward.operators.merge import (
+    MergedFeature,
+    merge_parts,
+    merge_wide,
+    population_of_parts,
+    population_stats,
+    wide_of_parts,
+)
 
 LONG = [
     ("a", "cnt", 3.0),
@@ -48,3 +55,16 @@ def test_unknown_transform_and_double_names(long):
         MergedFeature("x", func="drop table")
     with pytest.raises(ValueError):
         merge_wide(long, (MergedFeature("x"), MergedFeature("x")))
+
+
+def test_parts_give_both_outputs(spark):
+    rng = [(f"e{k % 9}", f, float(k % 13) + 0.37 * (k % 5)) for k in range(120) for f in ("a", "b")]
+    # Copies of a feature, a NULL, and one that never occurs.
+    data = rng + [("e1", "a", None), ("e99", "b", 1e6), ("e99", "b", 1e6)]
+    long = spark.createDataFrame(data, "dval string, fkey string, fval double")
+    features = (MergedFeature("a", clip=9.0, func="log"), MergedFeature("b"), MergedFeature("c", fill=-7.0))
+    parts = merge_parts(long, features)
+    close(rows(wide_of_parts(parts, features)), rows(merge_wide(long, features)))
+    close(rows(population_of_parts(parts, features)), rows(population_stats(long, features)))
+    none = merge_parts(long.limit(0), features)
+    assert rows(population_of_parts(none, features)) == rows(population_stats(long.limit(0), features))

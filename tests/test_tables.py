@@ -93,3 +93,27 @@ def test_staged_tables_lie_in_the_shared_folder_and_go_away(spark):
         assert len(set(folder.iterdir()) - before) == 1
         assert rows(kept) == rows(df) and kept.columns == df.columns
     assert set(folder.iterdir()) == before
+
+
+def test_only_the_folders_asked_for_are_listed(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for day in range(10):
+        S.overwrite_partition(groups(spark, f"p{day}"), path, {**AT, "date": f"202401{day:02d}"})
+    wanted = {"date": "20240103", "hour": "08"}
+    one = S.read_table(spark, path, S.GROUP_FEATURES, wanted)
+    assert rows(one, "group_pattern", "date", "hour", "version") == [("p3", "20240103", "08", "v1")]
+    listed = one._jdf.queryExecution().analyzed().toString()
+    files = one.inputFiles()
+    assert files and all("date=20240103/hour=08" in f for f in files)
+    # The relation itself knows no other file, whatever the filter.
+    everything = S.read_table(spark, path, S.GROUP_FEATURES, {}).inputFiles()
+    assert len(everything) > len(files) and "Relation" in listed
+    two = S.read_table(spark, path, S.GROUP_FEATURES, {"date": ["20240103", "20240105", "20240199"]})
+    assert rows(two, "group_pattern") == [("p3",), ("p5",)]
+    assert S.read_table(spark, path, S.GROUP_FEATURES, {"date": "20240199"}).columns == one.columns
+
+
+def test_hours_before():
+    assert S.hours_before("20240301", "1", 3) == [("20240229", "23"), ("20240301", "00"), ("20240301", "01")]
+    with pytest.raises(ValueError):
+        S.hours_before("20240301", "01", 0)
