@@ -46,9 +46,9 @@ def with_empty(df: DataFrame, names: list[str]) -> DataFrame:
     return df.selectExpr("*", *[f"CAST(NULL AS STRING) AS {n}" for n in rest])
 
 
-def request_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+def request_log(spark: SparkSession, sf_dir: str, when: str = "true") -> DataFrame:
     """Events as raw requests: device, site, model, address and so on."""
-    known = hourly(table(spark, sf_dir, "events"), "p_date").withColumns(
+    known = hourly(table(spark, sf_dir, "events").where(when), "p_date").withColumns(
         {
             "request_id": F.col("event_id").cast("string"),
             "union_imei": F.concat(F.lit("u"), F.col("user_id")),
@@ -89,10 +89,11 @@ FROM events
 """
 
 
-def black_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+def black_hits(spark: SparkSession, sf_dir: str, when: str = "true") -> DataFrame:
     """Policy hits: costly events, those of type view only by a passing policy."""
     return (
         table(spark, sf_dir, "events")
+        .where(when)
         .where(F.col("value") > 100)
         .select(
             F.col("event_id").cast("string").alias("request_id"),
@@ -153,9 +154,9 @@ ON CAST(a.app_id AS BIGINT) = p.p_partkey
 """
 
 
-def activations(spark: SparkSession, sf_dir: str) -> DataFrame:
+def activations(spark: SparkSession, sf_dir: str, when: str = "true") -> DataFrame:
     """Each event as an activation, retained since its user's first event."""
-    rows = table(spark, sf_dir, "events")
+    rows = table(spark, sf_dir, "events").where(when)
     first = rows.groupBy("user_id").agg(F.min("ts").alias("first_ts"))
     user = F.col("user_id")
     active = F.when(user % 5 != 0, F.lit(0.5))
