@@ -161,8 +161,11 @@ def event_pairs(
 
     The successor comes from a window per entity. Entities that hold too large
     a share of the log are cut at quantiles of their first sort key into chunks
-    that sort in separate tasks; the pairs across chunk edges are added from a
-    small table of the chunks' first and last events.
+    that sort in separate tasks, and chunks that are still too large, as all their
+    events share that key, at quantiles of the next key, up to the last tie break.
+    The pairs across chunk edges are added from a small table of the chunks' first
+    and last events. Hot entities are looked for, and cuts made, right away: this
+    runs Spark jobs while the query is being built.
     """
     events = _events(rows, dkey, spec)
     by = [f"_e{i}" for i in range(len(dkey))]
@@ -184,7 +187,10 @@ def event_pairs(
     if not hot:
         chunked, parts = events, by
     else:
-        chunked, parts = _chunk(events, by, list(hot)), [*by, "_chunk"]
+        names = [f"_o{i}" for i in range(len(spec.order_by))]
+        names += [f"_t{i}" for i in range(len(spec.tie_break))]
+        chunked = _chunks(events, by, list(hot), names, hot_share, hot_floor)
+        parts = [*by, "_chunk"]
     local = Window.partitionBy(*parts).orderBy(*order)
     inside = chunked.select(
         "_by",
@@ -196,7 +202,8 @@ def event_pairs(
     if not hot:
         return _steps(inside.select("_by", "_cur", "_next", "rank_num"), spec)
 
-    edges = _chunk_edges(chunked.where("_chunk > -2"), by, carried, F.struct(*order))
+    cut = chunked.where(F.col("_chunk")[0] > -2)
+    edges = _chunk_edges(cut, by, carried, F.struct(*order))
     if spec.ranked:
         # `edges` has one row per chunk, about SIDE ** 2 / hot_share at most.
         offsets = edges.select(
@@ -244,8 +251,8 @@ def _carried(spec: InterArrival) -> list[str]:
 
 
 def _splittable(kind: T.DataType) -> bool:
-    ordered = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
-    return isinstance(kind, (*ordered, T.StringType))
+    ordered = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)
+    return isinstance(kind, (*ordered, T.StringType, T.BinaryType))
 
 
 def _place(kind: T.DataType, key: Column, skip: Column) -> Column:
@@ -253,9 +260,11 @@ def _place(kind: T.DataType, key: Column, skip: Column) -> Column:
 
     Texts are placed by six bytes after the `skip` hex digits all keys share.
     """
-    if isinstance(kind, T.StringType):
+    if isinstance(kind, (T.StringType, T.BinaryType)):
         digits = F.rpad(F.substr(F.hex(key), skip + 1, F.lit(12)), 12, "0")
         return F.conv(digits, 16, 10).cast("double")
+    if isinstance(kind, T.BooleanType):
+        return key.cast("int").cast("double")
     if isinstance(kind, T.NumericType):
         return key.cast("double")
     return F.unix_micros(key.cast("timestamp")).cast("double")
@@ -270,8 +279,44 @@ def _shared_digits(low: Column, high: Column) -> Column:
     )
 
 
-def _chunk(events: DataFrame, by: list[str], hot: list[int]) -> DataFrame:
-    """Add `_chunk`, never falling with the first sort key; -2 where it is not cut.
+def _chunks(
+    events: DataFrame, by: list[str], hot: list[int], names: list[str], share: float, floor: int
+) -> DataFrame:
+    """Add `_chunk`, an array of one number per sort key that never falls in sort order.
+
+    A key cuts what the keys before it left in one piece: chunks above the share whose
+    events are all equal in those keys. Its number is -2 where it cuts nothing.
+    """
+    levels, chunked = [], events
+    for level, name in enumerate(names):
+        if not _splittable(events.schema[name].dataType):
+            break
+        within = [*by, *levels]
+        if level:
+            hot = _uniform(chunked, within, names[level - 1], list(hot_keys(chunked, within, share, floor)))
+            if not hot:
+                break
+        levels.append(f"_c{level}")
+        chunked = _chunk(chunked, within, hot, name, levels[-1])
+    return chunked.withColumn("_chunk", F.array(*levels)).drop(*levels)
+
+
+def _uniform(events: DataFrame, by: list[str], key: str, hot: list[int]) -> list[int]:
+    """Those of the hot groups, 1 / share of them at most, in which one key never changes."""
+    if not hot:
+        return []
+    group = F.xxhash64(*by)
+    least, most, held = F.min(key), F.max(key), F.count(key)
+    found = (
+        events.where(group.isin(hot))
+        .groupBy(group.alias("_hash"))
+        .agg(((least == most) & (held == F.count(F.lit(1))) | (held == 0)).alias("_same"))
+    )
+    return [r["_hash"] for r in found.where("_same").collect()]
+
+
+def _chunk(events: DataFrame, by: list[str], hot: list[int], key: str, name: str) -> DataFrame:
+    """Add column `name`, never falling with the sort key `key`; -2 where it is not cut.
 
     The quantiles only balance the chunks, so they are quantiles of the quantiles of
     MERGED parts, and no task merges what all tasks have gathered. They go by way
@@ -279,18 +324,18 @@ def _chunk(events: DataFrame, by: list[str], hot: list[int]) -> DataFrame:
     of the chunks cuts alike.
     """
     spark = events.sparkSession
-    kind = events.schema["_o0"].dataType
+    kind = events.schema[key].dataType
     picked = events.where(F.xxhash64(*by).isin(hot))
     skip = F.lit(0)
-    if isinstance(kind, T.StringType):
-        skip = _shared_digits(F.min("_o0"), F.max("_o0"))
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        skip = _shared_digits(F.min(key), F.max(key))
     skips = picked.groupBy(*by).agg(skip.alias("_skip"))
     skips = spark.createDataFrame(skips.collect(), skips.schema)
 
     def same(df: DataFrame) -> Column:
         return reduce(lambda x, y: x & y, [events[b].eqNullSafe(df[b]) for b in by])
 
-    at = _place(kind, F.col("_o0"), F.col("_skip"))
+    at = _place(kind, F.col(key), F.col("_skip"))
     count = SIDE * SIDE
 
     def quantiles(value: Column) -> Column:
@@ -325,11 +370,11 @@ def _chunk(events: DataFrame, by: list[str], hot: list[int]) -> DataFrame:
     coarse = below(F.col("_coarse"))
     chunk = (
         F.when(F.col("_skip").isNull(), -2)
-        .when(F.col("_o0").isNull() | F.col("_coarse").isNull(), -1)
+        .when(F.col(key).isNull() | F.col("_coarse").isNull(), -1)
         .otherwise(coarse * SIDE + below(F.get("_fine", coarse)))
     )
     return events.join(F.broadcast(cuts), same(cuts), "left").select(
-        *[events[c] for c in events.columns], chunk.alias("_chunk")
+        *[events[c] for c in events.columns], chunk.alias(name)
     )
 
 

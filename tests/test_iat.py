@@ -198,12 +198,48 @@ def test_hot_entity_is_really_cut(skewed):
     arrival = spec(*FEATURES)
     events = iat._events(skewed, ("d",), arrival)
     hot = list(hot_keys(events, ["_e0"], 0.5, 0))
-    chunked = iat._chunk(events, ["_e0"], hot)
-    assert chunked.where("_chunk > -2").select("_e0").distinct().collect() == [("hot",)]
+    names = ["_o0", "_t0"]
+    chunked = iat._chunks(events, ["_e0"], hot, names, 0.5, 0)
+    assert chunked.where("_chunk[0] > -2").select("_e0").distinct().collect() == [("hot",)]
     sizes = chunked.where("_e0 = 'hot'").groupBy("_chunk").count().collect()
     assert len(sizes) > 500
     assert max(r["count"] for r in sizes) < 30
     text = skewed.withColumn("t", F.expr("CAST(timestamp_seconds(t) AS STRING)"))
     events = iat._events(text, ("d",), arrival)
-    sizes = iat._chunk(events, ["_e0"], hot).where("_e0 = 'hot'").groupBy("_chunk").count()
+    sizes = iat._chunks(events, ["_e0"], hot, names, 0.5, 0).where("_e0 = 'hot'").groupBy("_chunk").count()
     assert sizes.count() > 500
+
+
+@pytest.fixture(scope="module")
+def level(spark):
+    """A hot entity with one timestamp but for a few events, and a boolean between."""
+    rng = random.Random(6)
+    events = [("hot", 7, rng.random() < 0.5, i) for i in range(4000)]
+    events += [("hot", rng.choice([None, 3, 9]), True, i) for i in range(4000, 4060)]
+    events += [(rng.choice(["a", "b"]), rng.randrange(50), False, i) for i in range(4060, 4500)]
+    rng.shuffle(events)
+    return spark.createDataFrame(events, "d string, t bigint, flag boolean, id int")
+
+
+LEVEL = InterArrival(("t", "flag"), (IatKey("id", (IatStep("minus", FEATURES),)),), ("id",))
+
+
+def test_an_entity_with_one_timestamp_is_cut_by_the_next_keys(level):
+    from tallyward.operators import iat
+    from tallyward.operators.skew import hot_keys
+
+    events = iat._events(level, ("d",), LEVEL)
+    hot = list(hot_keys(events, ["_e0"], 0.5, 0))
+    chunked = iat._chunks(events, ["_e0"], hot, ["_o0", "_o1", "_t0"], 0.02, 0)
+    sizes = [r["count"] for r in chunked.where("_e0 = 'hot'").groupBy("_chunk").count().collect()]
+    assert max(sizes) < 0.02 * 4500
+    shape = {len(r["_chunk"]) for r in chunked.select("_chunk").distinct().collect()}
+    assert shape == {3}
+
+
+@pytest.mark.parametrize("share", [0.3, 0.02])
+def test_cuts_by_later_keys_do_not_change_the_result(level, share):
+    got = inter_arrival(level, ("d",), LEVEL, share, 0)
+    want = inter_arrival(level, ("d",), LEVEL, 1.0, 10**9)
+    names = ("dval", "avg", "n", "rank")
+    close(rows(got, *names), rows(want, *names))
