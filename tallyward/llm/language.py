@@ -13,8 +13,8 @@ it is in a learned language at all. The least part is learned from the sample, b
 number of features, each landmark projected on the others only.
 
 A text that is NULL or has no letter is `und` with score 0. Documents without a
-label, or held out, are not learned from; languages beyond MAX_LANGS, the rarest
-ones, are not learned. Without any label all texts are `und`. Repeated rows are
+label, or held out, are not learned from; every other label is learned, and more than
+MAX_LANGS of them are an error. Without any label all texts are `und`. Repeated rows are
 scored one by one; other columns are ignored.
 """
 
@@ -32,10 +32,13 @@ from .octets import LOWER, mixed, runs
 
 FEATURES = 1 << 13
 GRAMS = (1, 2, 3)
-# Documents learned from: at most this many per language, of at most so many languages.
+# Documents learned from: at most this many per language. More languages are an error,
+# as the sample, some 200 kB for each, is learned from on the driver.
 PER_LANG = 200
-MAX_LANGS = 64
+MAX_LANGS = 256
+# Landmarks there are at least, and at least for each language.
 LANDMARKS = 160
+LANDMARKS_PER_LANG = 8
 RIDGE = 0.1
 # A text of a learned language keeps at least this share of what nearly all of the sample keep
 # (all but KEPT_BELOW in a hundred) that have as many features to within a factor of two.
@@ -117,7 +120,8 @@ def labelled_sample(docs: DataFrame, per_lang: int = PER_LANG) -> DataFrame:
     usable = docs.where(
         F.col("lang").isNotNull() & ~held_out() & F.col("text").rlike(LETTER)
     ).select("doc_id", "lang", "text")
-    common = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS)
+    if usable.select("lang").distinct().limit(MAX_LANGS + 1).count() > MAX_LANGS:
+        raise ValueError(f"more than {MAX_LANGS} languages")
 
     def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -134,7 +138,6 @@ def labelled_sample(docs: DataFrame, per_lang: int = PER_LANG) -> DataFrame:
     # Ranking sees narrow rows and keeps per_lang of each task before they meet.
     chosen = (
         usable.select("doc_id", "lang", F.xxhash64("doc_id").alias("_order"))
-        .join(F.broadcast(common.select("lang")), "lang", "left_semi")
         .withColumn("_rank", F.row_number().over(by_hash))
         .where(F.col("_rank") <= per_lang)
         .select("doc_id")
@@ -145,12 +148,13 @@ def labelled_sample(docs: DataFrame, per_lang: int = PER_LANG) -> DataFrame:
     return bits.dropDuplicates(["doc_id", "lang"]).select("doc_id", "lang", "bits")
 
 
-def fit(docs: DataFrame, per_lang: int = PER_LANG, landmarks: int = LANDMARKS) -> Model | None:
+def fit(docs: DataFrame, per_lang: int = PER_LANG, landmarks: int | None = None) -> Model | None:
     """Learn from the sample; None if there is nothing to learn from."""
     rows = sorted(labelled_sample(docs, per_lang).collect(), key=lambda r: (r["lang"], r["doc_id"]))
     if not rows:
         return None
     langs = tuple(sorted({r["lang"] for r in rows}))
+    landmarks = landmarks or max(LANDMARKS, LANDMARKS_PER_LANG * len(langs))
     bits = np.frombuffer(b"".join(bytes(r["bits"]) for r in rows), dtype=np.uint8)
     sets = unit_rows(np.unpackbits(bits.reshape(len(rows), -1), axis=1).astype(np.float32))
     sets = sets.astype(np.float64)

@@ -37,11 +37,12 @@ WIDE_BITS = 3.8
 # Symbols of the wider class, at whose places windows are counted.
 SYMBOLS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 # Allow list: plain words, UUIDs, dates and versions joined by dashes, paths,
-# alphabets, and keys that documentation uses.
+# alphabets, and keys that documentation uses. Repeated groups are possessive: Java
+# walks through those in a loop, through others by a call per repetition.
 ALLOWED = (
-    r"^[a-z]+$|^[A-Z]+$|^[0-9]+$|^[A-Z]?[a-z]+([+/_=-]+[A-Za-z]?[a-z]*)*$"
-    r"|^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$"
-    r"|^[0-9]+([-_/][0-9A-Za-z]{1,8})+$|^/?([A-Za-z0-9_-]{1,12}/)+[A-Za-z0-9_-]{1,12}$"
+    r"^[a-z]+$|^[A-Z]+$|^[0-9]+$|^[A-Z]?[a-z]++(?:[+/_=-]++[A-Za-z]?+[a-z]*+)*+$"
+    r"|^[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$"
+    r"|^[0-9]++(?:[-_/][0-9A-Za-z]{1,8}+)++$|^/?(?:[A-Za-z0-9_-]{1,12}+/)++[A-Za-z0-9_-]{1,12}+$"
     r"|(?i:example|placeholder|changeme|0123456789|abcdefghij|your[_-])"
 )
 
@@ -159,7 +160,11 @@ def _joined(found: Column) -> Column:
 
 
 def find_secrets(docs: DataFrame) -> DataFrame:
-    """doc_id with the spans of each kind: base and extra, arrays of (start, place, end, kind)."""
+    """doc_id with the spans of each kind: base and extra, arrays of (start, place, end, kind).
+
+    `hot` has every candidate with a window at the threshold, also where a pattern found
+    it; `extra` those that no pattern found.
+    """
     text = F.col("text")
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     value = lambda s: F.char_length(F.regexp_extract(s["text"], ASSIGN_VALUE, 1))
@@ -183,15 +188,18 @@ def find_secrets(docs: DataFrame) -> DataFrame:
         _kind(F.col("hex"), "hex", 2),
     )
     rows = rows.withColumn("base", base)
-    fresh = F.filter(
+    hot = F.transform(
         "_wanted",
-        lambda s: ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])),
+        lambda s: F.struct(
+            s["start"].alias("at"), s["end"].alias("to"), entropy_span(s["text"]).alias("span")
+        ),
     )
-    rows = rows.withColumn(
-        "_hot", F.transform(fresh, lambda s: F.struct(s["start"].alias("at"), entropy_span(s["text"]).alias("span")))
+    rows = rows.withColumn("hot", F.filter(hot, lambda h: h["span"].isNotNull()))
+    fresh = F.filter(
+        "hot", lambda h: ~F.exists("base", lambda b: (b["start"] < h["to"]) & (h["at"] < b["end"]))
     )
     extra = F.transform(
-        F.filter("_hot", lambda h: h["span"].isNotNull()),
+        fresh,
         lambda h: F.struct(
             (h["at"] + h["span"]["start"]).alias("start"),
             F.lit(3).alias("place"),
@@ -199,11 +207,11 @@ def find_secrets(docs: DataFrame) -> DataFrame:
             F.lit("entropy").alias("kind"),
         ),
     )
-    return rows.select("doc_id", "assign", "access", "hex", "base", extra.alias("extra"))
+    return rows.select("doc_id", "assign", "access", "hex", "base", "hot", extra.alias("extra"))
 
 
 def secret_report(docs: DataFrame) -> DataFrame:
-    """doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_entropy."""
+    """doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_entropy, n_hot."""
 
     def number(name: str) -> Column:
         return F.size(name).cast("bigint")
@@ -216,4 +224,5 @@ def secret_report(docs: DataFrame) -> DataFrame:
         F.sha2(_joined(F.col("base")), 256).alias("base_sha256"),
         _joined(F.concat("base", "extra")).alias("spans"),
         number("extra").alias("n_entropy"),
+        number("hot").alias("n_hot"),
     )

@@ -109,7 +109,7 @@ def encode_chunks(
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, part = encoder(name, path), TaskContext.get().partitionId()
         end = np.array([end_id], dtype="<u4").tobytes()
-        chunk, held, doc_ids, lengths = 0, [], [], []
+        chunk, n_ids, held, doc_ids, lengths = 0, 0, [], [], []
 
         def row() -> pa.RecordBatch:
             ids = np.frombuffer(b"".join(held), dtype="<u4")
@@ -125,9 +125,10 @@ def encode_chunks(
                     held.append(ids + end)
                     doc_ids.append(key)
                     lengths.append(len(ids) // 4 + 1)
-                    if sum(lengths) >= chunk_ids:
+                    n_ids += lengths[-1]
+                    if n_ids >= chunk_ids:
                         yield row()
-                        chunk, held, doc_ids, lengths = chunk + 1, [], [], []
+                        chunk, n_ids, held, doc_ids, lengths = chunk + 1, 0, [], [], []
         if doc_ids:
             yield row()
 

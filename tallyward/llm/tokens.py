@@ -21,9 +21,8 @@ WIDE_SPACE = re.compile("[\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\
 UNEVEN_SPACE = re.compile(rb"[\t\r\x0b\x0c\x00]|[ \n][ \n]")
 # Marks that end a sentence or clause.
 ENDS = (b".", b",")
-# Pieces known at once; some 200 bytes each, as for words.
-KNOWN_PIECES = 600_000
-# Words a generation of the memory holds, some 200 bytes each; there are two.
+# Pieces and words a generation of the memory holds, some 200 bytes each; there are two.
+KNOWN_PIECES = 300_000
 KNOWN_WORDS = 400_000
 # New words are encoded this many at a time, with this special token between them.
 BATCH = 20_000
@@ -35,8 +34,8 @@ class Encoder:
 
     A word seen lately is looked up. A comma or full stop that ends a piece is
     encoded apart where a letter stands before it, as the tokenizers do. Of two
-    generations of known words the older goes once the younger is full, so that
-    frequent words stay.
+    generations of known words, and of pieces, the older goes once the younger is full,
+    so that frequent ones stay.
     """
 
     def __init__(self, name: str, path: str):
@@ -48,6 +47,7 @@ class Encoder:
         self.split = SPLITS[name]
         self.folds_case = self.split is bytes.split
         self.known: dict[bytes, bytes] = {}
+        self.before: dict[bytes, bytes] = {}
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
@@ -80,7 +80,7 @@ class Encoder:
             if piece[-1:] in ENDS and piece[-2:-1].isalpha():
                 ended.append(piece)
                 piece = piece[:-1]
-            words.append(piece.lower() if lower else piece)
+            words.append(piece.lower() if lower and b"<|" not in piece else piece)
         words += ENDS
         new = []
         for word in set(words):
@@ -120,10 +120,14 @@ class Encoder:
         cut = [self._pieces(text) for text in texts]
         known = self.known.__contains__
         met = {p for pieces in cut if pieces for p in filterfalse(known, pieces)}
-        if len(self.known) + len(met) > KNOWN_PIECES:
-            self.known.clear()
+        if len(self.known) > KNOWN_PIECES:
+            # What this call needs of the younger generation is in the older one now.
+            self.before, self.known = self.known, {}
             met = set(chain.from_iterable(p for p in cut if p))
-        self._meet(met)
+        before = self.before
+        seen = met.intersection(before)
+        self.known.update((p, before[p]) for p in seen)
+        self._meet(met - seen)
         return [
             self._ids(text.decode()).tobytes()
             if pieces is None

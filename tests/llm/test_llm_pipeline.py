@@ -134,9 +134,27 @@ def test_stages_take_nulls_and_repeated_rows(spark, tmp_path):
         assert stage(spark, docs, str(tmp_path)).count() >= 1
 
 
+def test_near_stage_decides_by_row(spark, tmp_path):
+    """Rows that share a doc_id, or have none, are rows of their own."""
+    a, b, c, d = ("one two three four five six", "quite other words stand in here now", "a third text with words of its own", "and the last one of these short texts")
+    rows = [(5, a), (7, a), (7, b), (None, a), (None, c), (1, d), (1, d), (None, None), (2, "")]
+    docs = spark.createDataFrame([(k, t, "en", "s", None) for k, t in rows], DOCS)
+    got = dict(corpus_pipeline.STAGES)["near dedup"](spark, docs, str(tmp_path))
+    want = [(5, a), (7, b), (None, c), (1, d), (None, None), (2, "")]
+    assert got.columns == docs.columns
+    assert sorted(((r["doc_id"], r["text"]) for r in got.collect()), key=repr) == sorted(want, key=repr)
+
+
+def test_mix_stage_takes_rows_without_an_id(spark, tmp_path):
+    rows = [(None, "a b c"), (None, "d e"), (7, "x y"), (7, "z"), (8, "u v w")]
+    docs = spark.createDataFrame([(k, t, "en", "s", None) for k, t in rows], DOCS)
+    got = dict(corpus_pipeline.STAGES)["mix"](spark, docs, str(tmp_path))
+    assert sorted(((r["doc_id"], r["text"]) for r in got.collect()), key=repr) == sorted(rows, key=repr)
+
+
 def test_every_operator_has_its_query():
     names = entry_module.queries()
-    for number in range(1, 11):
+    for number in range(1, 14):
         assert sum(n.startswith(f"op{number}_") for n in names) == 1
     assert "pipeline" in names and corpus_pipeline.ORACLE_SQL is None
 
