@@ -32,26 +32,39 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that share four fifths of their five-word shingles one stays."""
+    """Of documents that share four fifths of their five-word shingles one stays.
+
+    It is the one with the smallest doc_id, one without an id only among its like. Every
+    row counts by itself, whether it shares its doc_id with others or has none.
+    """
     reach(spark)
-    gone = near_duplicates(docs, width=5, percent=80).where("not kept").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    rows = staged(docs.withColumn("__row", F.monotonically_increasing_id()), "near-rows")
+    found = near_duplicates(rows.select(F.col("__row").alias("doc_id"), "text"), width=5, percent=80)
+    groups = found.where("not kept").select("component_id").distinct()
+    members = found.join(groups, "component_id").select(F.col("doc_id").alias("__row"), "component_id")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "__row")
+    ranked = members.join(rows.select("__row", "doc_id"), "__row").select("component_id", order.alias("_order"))
+    first = ranked.groupBy("component_id").agg(F.min("_order")["__row"].alias("_first"))
+    gone = members.join(first, "component_id").where("__row <> _first").select("__row")
+    return rows.join(gone, "__row", "left_anti").select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes its words.
 
     A document of which the mix takes 1.4 times the words comes once, and with a
-    chance of 0.4 by its own hash, twice.
+    chance of 0.4 by its own hash, twice. Rows that share a doc_id, or have none, count
+    as one document whose words the mix takes in common.
     """
     mix = mixed_words(docs).groupBy("doc_id").agg(
         F.sum("taken").alias("_taken"), F.sum("size").alias("_size")
     )
     chance = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / float(1 << 20)
     times = F.floor(F.col("_taken") / F.col("_size") + chance).cast("int")
-    often = mix.where("_size > 0").select("doc_id", times.alias("_times")).where("_times > 0")
+    often = mix.where("_size > 0").select(F.col("doc_id").alias("_doc"), times.alias("_times"))
     again = F.explode(F.array_repeat(F.lit(0), F.col("_times")))
-    return docs.join(often, "doc_id").withColumn("_again", again).select(*docs.columns)
+    kept = docs.join(often.where("_times > 0"), docs["doc_id"].eqNullSafe(F.col("_doc")))
+    return kept.withColumn("_again", again).select(*[docs[c] for c in docs.columns])
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
