@@ -144,7 +144,7 @@ class Mined:
     def longer(self, at: np.ndarray, k: int) -> np.ndarray:
         """Keys of phrases of k + 1 words at every place, -1 where there is none."""
         after = np.zeros_like(self.codes)
-        after[: len(after) - k] = self.codes[k:]
+        after[: max(len(after) - k, 0)] = self.codes[k:]
         return np.where((at >= 0) & (after > 0), at * self.width + after, -1)
 
     def given(self, phrases: list[str], longest: int) -> Iterator[tuple[int, np.ndarray, dict[int, str]]]:
