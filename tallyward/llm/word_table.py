@@ -41,7 +41,7 @@ from .tokens import slices
 # Text of a block in bytes; a block also ends with its task.
 BLOCK_BYTES = 64_000_000
 # Distinct words of a block, some 200 bytes each while it is built.
-BLOCK_WORDS = 600_000
+BLOCK_WORDS = 800_000
 # Text split at once.
 SLICE_BYTES = 4_000_000
 # Words in one row of the staged table, and in a bucket, some 200 bytes each there.
@@ -167,9 +167,12 @@ def split_words(docs: DataFrame) -> DataFrame:
         if block.rows:
             yield from block.close()
 
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(
-        split, BLOCK_DDL
-    )
+    # A task takes as many input splits as fill a block, while cores have tasks enough.
+    octets = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    cores = docs.sparkSession.sparkContext.defaultParallelism
+    tasks = max(2 * cores, -(-octets // BLOCK_BYTES))
+    ready = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    return ready.coalesce(tasks).mapInArrow(split, BLOCK_DDL)
 
 
 @lru_cache(maxsize=2)
@@ -220,8 +223,8 @@ def bucket_words(blocks: DataFrame) -> DataFrame:
                     octets = word.encode()
                     by[zlib.crc32(octets) % buckets].append((octets, place))
                 keys, places, packs = list(by), [], []
-                for some in map(sorted, by.values()):
-                    places.append(packed(np.array([p for _, p in some])))
+                for some in by.values():
+                    places.append(packed(np.diff([p for _, p in some], prepend=0)))
                     packs.append(press.compress(b" ".join(w for w, _ in some)))
                 yield pa.record_batch(
                     {
@@ -270,13 +273,20 @@ def word_ids(bucketed: DataFrame, path: str) -> DataFrame:
 
 
 def id_pieces(spark, path: str) -> DataFrame:
-    """The vocabulary as rows (no, pieces) of ROW_PIECES ids each, from no * ROW_PIECES on."""
+    """The vocabulary as rows (no, pieces) of ROW_PIECES ids each, from no * ROW_PIECES on.
+
+    Pieces hold no white space, so a row's are one compressed text; ids without a piece,
+    which no text has, are empty in it.
+    """
+    import zstandard
+
+    press = zstandard.ZstdCompressor(level=9)
     names = {i: p for p, i in tokenizer(path).get_vocab(with_added_tokens=True).items()}
     rows = [
-        (no, [names.get(no * ROW_PIECES + k) for k in range(ROW_PIECES)])
+        (no, press.compress(" ".join(names.get(no * ROW_PIECES + k, "") for k in range(ROW_PIECES)).encode()))
         for no in range(max(names) // ROW_PIECES + 1)
     ]
-    return spark.createDataFrame(rows, "no int, pieces array<string>")
+    return spark.createDataFrame(rows, "no int, pieces binary")
 
 
 def _spread(
@@ -304,7 +314,9 @@ class Assembly:
         self.pieces: dict[int, bytes] = {}
 
     def words(self, places: bytes, sizes: bytes, ids: bytes) -> None:
-        for held, data in ((self.places, places), (self.sizes, sizes), (self.ids, ids)):
+        # Places ascend and are kept as differences.
+        self.places.append(np.cumsum(unpacked(places).astype(np.int64)))
+        for held, data in ((self.sizes, sizes), (self.ids, ids)):
             held.append(unpacked(data).astype(np.int64))
 
     def close(self, marked: bytes, found: bytes) -> None:
@@ -381,7 +393,9 @@ def codec(docs: DataFrame, path: str, whole: bool = False) -> DataFrame:
     schema = pa.schema(list(OUT) if whole else list(OUT)[:4])
 
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, now = Assembly(), None
+        import zstandard
+
+        held, now, unpress = Assembly(), None, zstandard.ZstdDecompressor()
         for batch in batches:
             for r in range(batch.num_rows):
                 row = {name: batch.column(c)[r] for c, name in enumerate(PART_COLUMNS)}
@@ -392,9 +406,8 @@ def codec(docs: DataFrame, path: str, whole: bool = False) -> DataFrame:
                     held.words(*(row[c].as_py() for c in ("places", "sizes", "ids")))
                 elif kind == PIECES:
                     first = row["no"].as_py() * ROW_PIECES
-                    held.pieces |= {
-                        first + k: p.encode() for k, p in enumerate(row["pieces"].as_py()) if p is not None
-                    }
+                    pieces = unpress.decompress(row["pieces"].as_py()).split(b" ")
+                    held.pieces |= {first + k: p for k, p in enumerate(pieces)}
                 elif kind == RAW:
                     held.close(row["codes"].as_py(), row["more"].as_py())
                 else:
