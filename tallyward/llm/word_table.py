@@ -79,7 +79,7 @@ def packed(numbers: np.ndarray) -> bytes:
     import zstandard
 
     planes = planes_of(numbers, "byte").tobytes()
-    return len(numbers).to_bytes(8, "little") + zstandard.ZstdCompressor(level=3).compress(planes)
+    return len(numbers).to_bytes(8, "little") + zstandard.ZstdCompressor(level=9).compress(planes)
 
 
 def unpacked(data: bytes) -> np.ndarray:
@@ -214,7 +214,7 @@ def bucket_words(blocks: DataFrame) -> DataFrame:
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
-        press = zstandard.ZstdCompressor(level=3)
+        press = zstandard.ZstdCompressor(level=9)
         for batch in batches:
             for r in range(batch.num_rows):
                 block, no, words = (batch.column(c)[r].as_py() for c in range(3))
