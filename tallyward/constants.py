@@ -2,8 +2,6 @@
 
 # Separator inside entity values, group patterns and distinct keys.
 SEPARATOR = "|"
-# Accuracy argument of percentile_approx.
-PERCENTILE_ACCURACY = 5000
 # Decimals kept by the wide merge and the population statistics.
 MERGE_DECIMALS = 4
 # Fill value for features an entity does not have.

@@ -16,9 +16,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..constants import PERCENTILE_ACCURACY
 from ..functions.predicates import Condition, Value, all_of, value
 from ..functions.scalars import clip_top, joined
+from .percentiles import exact_percentiles
 
 Fold = Callable[[Column], Column]
 
@@ -135,7 +135,11 @@ class Stat(Feature):
 
 @dataclass(frozen=True, eq=False)
 class Percentile(Feature):
-    """Approximate percentile `p` of a value, clipped at `clip` if given."""
+    """Exact percentile `p` of a value, clipped at `clip` if given.
+
+    The smallest value that at least the share `p` of all values does not exceed;
+    NULL if no row meets `where`. See `percentiles`.
+    """
 
     p: float = 0.5
     column: Value = ""
@@ -148,12 +152,9 @@ class Percentile(Feature):
             raise ValueError(f"{self.name}: percentile must lie in [0, 1]")
 
     def parts(self) -> list[Part]:
+        """The input only; a fold of it holds all distinct values of a group."""
         picked = F.when(all_of(self.where), clip_top(value(self.column), self.clip))
-
-        def fold(c: Column) -> Column:
-            return F.percentile_approx(c, F.lit(self.p), F.lit(PERCENTILE_ACCURACY))
-
-        return [Part(picked, fold, None)]
+        return [Part(picked, F.count, None)]
 
 
 @dataclass(frozen=True, eq=False)
@@ -356,10 +357,13 @@ class Branch:
 
 
 def plan_branches(features: Sequence[Feature]) -> list[Branch]:
-    """The fewest passes: one per distinct key, plus one for what cannot merge."""
+    """The fewest passes: one per distinct key, one for percentiles, one for what cannot merge."""
     distinct: dict[tuple[str, ...], list[Feature]] = {}
     plain: list[Feature] = []
+    ranked = tuple(f for f in features if isinstance(f, Percentile))
     for feature in features:
+        if feature in ranked:
+            continue
         if isinstance(feature, Keyed):
             distinct.setdefault(tuple(feature.columns), []).append(feature)
         else:
@@ -371,6 +375,8 @@ def plan_branches(features: Sequence[Feature]) -> list[Branch]:
     branches = [Branch(tuple(fs), keys) for keys, fs in distinct.items()]
     if plain:
         branches.append(Branch(tuple(plain), None))
+    if ranked:
+        branches.append(Branch(ranked, None))
     return branches
 
 
@@ -378,7 +384,8 @@ def plan_branches(features: Sequence[Feature]) -> list[Branch]:
 class Inputs:
     """Row-level inputs of a branch, computed once each, and their aggregates.
 
-    `again` is None if some part cannot be merged.
+    `again` is None if some part cannot be merged. `ranked` is given for a branch of
+    percentiles, which are no aggregates: (feature, input column, p).
     """
 
     columns: dict[str, Column]
@@ -387,6 +394,7 @@ class Inputs:
     merge: list[Column]
     finish: list[Column]
     again: list[Column] | None
+    ranked: list[tuple[str, str, float]]
 
 
 def branch_inputs(frame: DataFrame, branch: Branch) -> Inputs:
@@ -397,7 +405,14 @@ def branch_inputs(frame: DataFrame, branch: Branch) -> Inputs:
     merge: list[Column] = []
     again: list[Column] = []
     finish: list[Column] = []
+    ranked: list[tuple[str, str, float]] = []
     for feature in branch.features:
+        if isinstance(feature, Percentile):
+            (part,) = feature.parts()
+            slot = slots.setdefault(str(part.input), f"_in{len(slots)}")
+            columns[slot] = part.input
+            ranked.append((feature.name, slot, feature.p))
+            continue
         merged = []
         for part in feature.parts():
             slot = slots.setdefault(str(part.input), f"_in{len(slots)}")
@@ -413,13 +428,15 @@ def branch_inputs(frame: DataFrame, branch: Branch) -> Inputs:
             merged.append(F.col(folds[fold]))
         finish.append(feature.finish(*merged).alias(feature.name))
     key = key_column(frame, branch.keys) if branch.keys else None
-    mergeable = again if len(again) == len(first) else None
-    return Inputs(columns, key, first, merge, finish, mergeable)
+    mergeable = again if len(again) == len(first) and not ranked else None
+    return Inputs(columns, key, first, merge, finish, mergeable, ranked)
 
 
 def aggregate_inputs(rows: DataFrame, by: Sequence[str], inputs: Inputs) -> DataFrame:
     """Aggregate rows that carry the input columns (and `_key`) by `by`."""
     by = list(by)
+    if inputs.ranked:
+        return exact_percentiles(rows, by, inputs.ranked)
     if inputs.key is None:
         folded = rows.groupBy(*by).agg(*inputs.first)
     else:

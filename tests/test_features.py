@@ -212,3 +212,39 @@ def test_columns_and_texts_mean_the_same(log):
     one = values(log, Count("n", "v > 5 AND app = 'x'"))
     other = values(log, Count("n", (F.col("v") > 5) & (F.col("app") == "x")))
     assert one == other
+
+
+def test_percentiles_of_large_groups_are_exact(spark):
+    """Also beyond the values that are sorted at once, for NULL groups and mixed types."""
+    many = spark.range(120_000).select(
+        F.when(F.col("id") % 3 > 0, F.lit("e")).alias("d"),
+        F.pmod(F.xxhash64("id"), F.lit(50_000)).alias("v"),
+        (F.pmod(F.hash("id"), F.lit(1000)) / 8).alias("w"),
+    )
+    features = (
+        Percentile("p07", True, 0.07, "v"),
+        Percentile("p90", True, 0.9, "v"),
+        Percentile("top", "v < 40000", 1.0, "v"),
+        Percentile("w50", True, 0.5, "w"),
+        Percentile("none", "v < 0", 0.5, "v"),
+    )
+    (entity,) = FeatureGroup("g", (Entity(("d",), features),)).entities
+    got = {}
+    for r in entity_features(many, FeatureGroup("g", (entity,))).collect():
+        got.setdefault(r.dval, {})[r.fkey] = r.fval
+    want = {}
+    for r in many.collect():
+        want.setdefault(r.d or "", []).append((r.v, r.w))
+
+    def ranked(values, share):
+        return sorted(values)[max(-(-len(values) * share // 100), 1) - 1]
+
+    for name, held in want.items():
+        v, w = [a for a, _ in held], [b for _, b in held]
+        assert got[name] == {
+            "p07": ranked(v, 7),
+            "p90": ranked(v, 90),
+            "top": max(x for x in v if x < 40_000),
+            "w50": ranked(w, 50),
+            "none": None,
+        }
