@@ -150,6 +150,21 @@ def test_sketch_errors(spark):
     assert abs(found["p"] / 200_000 - 0.9) < 2 * 1.65 / 400
 
 
+def test_sketched_distinct_counts_do_not_depend_on_how_they_were_merged(spark):
+    (part,) = ApproxDistinct("about", columns=("k",)).parts()
+    estimate = ApproxDistinct("about", columns=("k",)).finish
+    for n in (5, 900, 1_500, 1_600, 9_000, 60_000):
+        keys = spark.range(n).select(F.col("id").cast("string").alias("k"))
+        found = set()
+        for dealt, parts in ((1, 1), (1, 7), (5, 3), (8, 40), (3, 2000)):
+            kept = keys.repartition(dealt).groupBy(F.pmod(F.hash("k"), F.lit(parts)).alias("part"))
+            whole = kept.agg(part.first(F.col("k")).alias("s")).agg(part.merge(F.col("s")).alias("s"))
+            found.add(whole.select(estimate(F.col("s"))).first()[0])
+        found.add(keys.coalesce(1).agg(part.first(F.col("k")).alias("s")).select(estimate(F.col("s"))).first()[0])
+        assert len(found) == 1, (n, found)
+        assert abs(found.pop() / n - 1) < 6 * 1.04 / 2**7
+
+
 SCHEMAS = ("d,m,s", "d,m", "d", "m,hour")
 SPEC = GroupSpec(
     "G",
