@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from tallyward.constants import MAKE_MONEY_FIRST_TAG
 from tallyward.functions.scalars import json_number, json_texts
 from tallyward.operators.skew import skew_join
+from tallyward.session import fit_session
 from tallyward.sources.columns import REQUEST_COLUMNS
+from tallyward.sources.tables import stored_bytes
 
 # The label jobs work on one day; the derived tables carry this one throughout.
 DAY = "20240131"
@@ -17,7 +19,10 @@ LAST_DAY, LAST_HOUR, ALL_HOURS = "20241231", "23", 24 * 400
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A test table; the session's tasks are fitted to its size."""
+    path = f"{sf_dir}/{name}.parquet"
+    fit_session(spark, stored_bytes(spark, path))
+    return spark.read.parquet(path)
 
 
 def epoch(name: str) -> Column:

@@ -59,6 +59,13 @@ def _partition_filter(values: Mapping[str, str | Sequence[str]]) -> Column:
     return reduce(lambda a, b: a & b, conditions, F.lit(True))
 
 
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of the files below a path of any store that Spark reads."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files.getContentSummary(place).getLength()
+
+
 def _existing(spark: SparkSession, root: str, paths: Sequence[str]) -> list[str]:
     """Those of the folders below `root` that exist, asked for level by level, none listed."""
     place = spark._jvm.org.apache.hadoop.fs.Path

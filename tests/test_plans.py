@@ -58,3 +58,33 @@ def test_shuffle_partitions_follow_the_input():
     assert partitions(10**6) == 200
     assert partitions(10**6, 4000) == 8000
     assert 90_000 < partitions(100 * 10**12) < 95_000
+
+
+def test_tasks_of_a_query_are_fitted_to_its_tables(spark, tmp_path, monkeypatch):
+    from catalog import inputs
+    from catalog.registry import QUERIES
+    from tallyward import session
+
+    assert [session.byte_size(t) for t in ("64MB", "16k", "134217728b", "7")] == [2**26, 2**14, 2**27, 7]
+    keys = (
+        "spark.sql.shuffle.partitions",
+        "spark.sql.files.maxPartitionBytes",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes",
+    )
+    kept = {k: spark.conf.get(k) for k in keys}
+    monkeypatch.setattr(session, "FITTED_BYTES", 1024)
+    try:
+        plan = plan_of(QUERIES["group_patterns"](spark, "/root/testdata/sf0.01"))
+        size = inputs.stored_bytes(spark, "/root/testdata/sf0.01/lineitem.parquet")
+        partitions = -(-size // 1024)
+        assert f", {partitions})" in plan
+        assert int(spark.conf.get(keys[0])) == partitions > 8
+        assert session.byte_size(spark.conf.get(keys[1])) == session.SCAN_BYTES
+        assert session.byte_size(spark.conf.get(keys[2])) == session.MERGED_BYTES
+        inputs.table(spark, "/root/testdata/sf0.01", "nation")
+        assert int(spark.conf.get(keys[0])) == partitions
+        session.fit_session(spark, 10**15)
+        assert int(spark.conf.get(keys[0])) == -(-(10**15) // session.PARTITION_BYTES)
+    finally:
+        for key, value in kept.items():
+            spark.conf.set(key, value)
