@@ -14,6 +14,7 @@ from ..functions.scalars import joined
 from .features import (
     DistinctRatio,
     Feature,
+    Percentile,
     TopNRatio,
     aggregate_inputs,
     branch_inputs,
@@ -121,7 +122,8 @@ def passes(group: FeatureGroup) -> int:
     for entity in group.entities:
         ranked = [f for f in entity.features if _ranks(f)]
         number += len(plan_branches([f for f in entity.features if not _ranks(f)]))
-        # An event order looks for hot entities first.
+        # Percentiles look for large entities first, an event order for hot ones.
+        number += any(isinstance(f, Percentile) for f in entity.features)
         number += bool(ranked) + 2 * len(entity.arrivals)
     return number
 

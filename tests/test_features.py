@@ -214,8 +214,10 @@ def test_columns_and_texts_mean_the_same(log):
     assert one == other
 
 
-def test_percentiles_of_large_groups_are_exact(spark):
-    """Also beyond the values that are sorted at once, for NULL groups and mixed types."""
+@pytest.mark.parametrize("few", [10_000, 100_000])
+def test_percentiles_of_large_groups_are_exact(spark, monkeypatch, few):
+    """In slices and sorted at once, for NULL groups and mixed types."""
+    monkeypatch.setattr("tallyward.operators.percentiles.FEW", few)
     many = spark.range(120_000).select(
         F.when(F.col("id") % 3 > 0, F.lit("e")).alias("d"),
         F.pmod(F.xxhash64("id"), F.lit(50_000)).alias("v"),
