@@ -7,10 +7,11 @@ import string
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from tallyward.llm.fingerprints import fingerprints
 from tallyward.llm.licences import KNOWN, scan_licences, scan_sql
-from tallyward.llm.lines import line_report, without_repeats
+from tallyward.llm.lines import letter_counts, line_report, maybe_among, near, spread, without_repeats
 from tallyward.llm.secrets import WINDOW, secret_report
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -286,3 +287,29 @@ def test_near_lines_are_found_by_length(spark):
     assert min(shares[length, "word"] for length in (120, 240, 480)) >= 0.95
     assert shares[30, "twentieth"] >= 0.9 and shares[60, "twentieth"] >= 0.8
     assert shares[35, "spaceless"] == 1
+
+
+def test_texts_are_shuffled_of_lines_with_a_pair_only(spark):
+    rows = spark.range(100_000).select(F.xxhash64("id").alias("a"), F.lit("text").alias("line"))
+    listed = rows.select("a").sample(0.05, seed=1).limit(4000)
+    listed = spark.createDataFrame(listed.collect(), "a bigint")
+    passed = maybe_among(rows, listed, "a")
+    assert passed.columns == rows.columns
+    assert passed.join(listed, "a").count() == listed.count() == 4000
+    assert passed.count() < 4000 + 96_000 * 0.15
+    assert maybe_among(rows, listed.limit(0), "a").count() == 0
+    # Few bytes, but work for every task.
+    assert spread(spark.range(1000).select("id", F.col("id").alias("other"))).rdd.getNumPartitions() == 8
+
+
+def test_letter_counts_rule_out_pairs_inside_the_join(spark):
+    """Pairs of equal SimHashes and lengths, by what the counts of their letters allow."""
+    lines = ["abcdefghij" * 4, "abcdefghij" * 3 + "klmnabcdef", "zyxwvutsrq" * 4, "a" * 40, "z" * 3 + "a" * 37]
+    df = spark.createDataFrame(list(enumerate(lines)), "id bigint, line string")
+    words = [F.lit(0).cast("bigint").alias(f"w{k}") for k in range(8)]
+    left = df.select("id", "line", F.char_length("line").alias("long"), *words, *letter_counts())
+    right = left.select(*[F.col(c).alias("_" + c) for c in left.columns])
+    met = left.join(right, near(F.lit(8)) & (F.col("id") < F.col("_id")))
+    assert {(r["id"], r["_id"]) for r in met.collect()} == {(0, 1), (3, 4)}
+    plan = met._jdf.queryExecution().executedPlan().toString()
+    assert "aggregate(zip_with(" in plan
