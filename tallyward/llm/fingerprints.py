@@ -182,14 +182,14 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         .select(*kept, F.col("_bag.which").alias("_which"), F.explode_outer("_bag.terms").alias("_t"))
         .select(*kept, "_which", F.col("_t.term").alias("_term"), F.col("_t.n").alias("_n"))
     )
-    # A bag without words has one row without a term.
-    there = F.col("_term").isNotNull()
-    least = [
-        F.min(F.when(there, drawn(F.col("_term"), F.col("_n"), k))).alias(f"_m{k}")
-        for k in range(SAMPLES)
-    ]
-    samples = F.array(*[F.col(f"_m{k}").bitwiseAND(F.lit(LOW)) for k in range(SAMPLES)])
-    drawn_rows = terms.groupBy(*kept, "_which").agg(*least).select(
+    # A bag without words has one row without a term. That is looked at once per bag: under
+    # a condition per draw Spark would compute what a draw uses several times over again.
+    least = [F.min(drawn(F.col("_term"), F.col("_n"), k)).alias(f"_m{k}") for k in range(SAMPLES)]
+    there = F.count("_term").alias("_there")
+    samples = F.array(
+        *[F.when(F.col("_there") > 0, F.col(f"_m{k}").bitwiseAND(F.lit(LOW))) for k in range(SAMPLES)]
+    )
+    drawn_rows = terms.groupBy(*kept, "_which").agg(there, *least).select(
         *kept, "_which", samples.alias("_own")
     )
     # A document's row is followed by its edited text's, then by the next document's.

@@ -313,3 +313,14 @@ def test_letter_counts_rule_out_pairs_inside_the_join(spark):
     assert {(r["id"], r["_id"]) for r in met.collect()} == {(0, 1), (3, 4)}
     plan = met._jdf.queryExecution().executedPlan().toString()
     assert "aggregate(zip_with(" in plan
+
+
+def test_draws_stand_under_no_condition(spark):
+    """Else nothing that a draw uses several times is computed once; bags without words stay empty."""
+    docs = table(spark, ["some words here", None, "", "some words here", " \n"])
+    found = fingerprints(docs)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "min(CASE WHEN" not in plan and "min(" in plan
+    rows = {r["doc_id"]: r for r in found.collect()}
+    assert [rows[k]["fingerprint"] == "" for k in range(5)] == [False, True, True, False, True]
+    assert rows[0]["fingerprint"] == rows[3]["fingerprint"] and rows[1]["near_next"] == 1 and rows[0]["near_next"] == 0
