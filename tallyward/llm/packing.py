@@ -86,16 +86,23 @@ def token_pieces(
 
 def best_pattern(lengths: np.ndarray, worth: np.ndarray, capacity: int) -> np.ndarray:
     """How often each length stands in a pattern of the greatest worth (ascending lengths)."""
-    best = np.zeros(capacity + 1)
     last = np.full(capacity + 1, -1, dtype=np.int64)
-    upto = np.searchsorted(lengths, np.arange(capacity + 1), side="right")
-    for size in range(int(lengths[0]), capacity + 1):
-        value = best[size - lengths[: upto[size]]] + worth[: upto[size]]
-        k = int(value.argmax())
-        if value[k] > best[size - 1]:
-            best[size], last[size] = value[k], k
+    # The best of a size stands at capacity - size, so that what a size is made of lies side by side.
+    best = np.zeros(capacity + 1)
+    dense = np.full(capacity + 1, -np.inf)
+    dense[lengths] = worth
+    place = np.zeros(capacity + 1, dtype=np.int64)
+    place[lengths] = np.arange(len(lengths))
+    low, value = int(lengths[0]), np.empty(capacity + 1)
+    for size in range(low, capacity + 1):
+        at = capacity - size
+        high = min(size, int(lengths[-1]))
+        some = np.add(best[at + low : at + high + 1], dense[low : high + 1], out=value[: high + 1 - low])
+        k = int(some.argmax())
+        if some[k] > best[at + 1]:
+            best[at], last[size] = some[k], place[low + k]
         else:
-            best[size] = best[size - 1]
+            best[at] = best[at + 1]
     counts, size = np.zeros(len(lengths), dtype=np.int64), capacity
     while size > 0:
         if last[size] < 0:

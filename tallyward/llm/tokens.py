@@ -19,6 +19,9 @@ SPLITS = {"word_bpe_49k.json": bytes.split, "byte_bpe_50k.json": re.compile(rb"\
 WIDE_SPACE = re.compile("[\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]")
 # White space other than lone spaces and line ends, and the byte used to cut at those.
 UNEVEN_SPACE = re.compile(rb"[\t\r\x0b\x0c\x00]|[ \n][ \n]")
+# A word after one space; the byte-level tokenizer marks the first of its ids.
+SPACED = re.compile(rb" [^\s]+")
+SPACE_MARK = "\u0120"
 # Marks that end a sentence or clause.
 ENDS = (b".", b",")
 # Pieces and words a generation of the memory holds, some 200 bytes each; there are two.
@@ -46,6 +49,10 @@ class Encoder:
         self.between = self.tokenizer.token_to_id(BETWEEN)
         self.split = SPLITS[name]
         self.folds_case = self.split is bytes.split
+        if not self.folds_case:
+            marked = [(i, t) for t, i in self.tokenizer.get_vocab(with_added_tokens=True).items()]
+            self.opens = np.zeros(max(marked)[0] + 1, dtype=bool)
+            self.opens[[i for i, t in marked if t.startswith(SPACE_MARK)]] = True
         self.known: dict[bytes, bytes] = {}
         self.before: dict[bytes, bytes] = {}
         self.young: dict[bytes, bytes] = {}
@@ -61,6 +68,17 @@ class Encoder:
             self.young[word] = self._ids(word.decode()).tobytes()
         if odd:
             words = [w for w in words if b"<|" not in w]
+        if not self.folds_case:
+            spaced = [w for w in words if SPACED.fullmatch(w)]
+            words = [w for w in words if not SPACED.fullmatch(w)]
+            for at in range(0, len(spaced), BATCH):
+                some = spaced[at : at + BATCH]
+                # A text of its own: every space begins a word, and an id of its own.
+                ids = self._ids(b"".join(some).decode())
+                starts = (4 * np.flatnonzero(self.opens[ids])).tolist()
+                data = ids.tobytes()
+                for word, start, end in zip(some, starts, [*starts[1:], len(data)], strict=True):
+                    self.young[word] = data[start:end]
         for at in range(0, len(words), BATCH):
             some = words[at : at + BATCH]
             ids = self._ids(BETWEEN.join([w.decode() for w in some]))

@@ -311,3 +311,33 @@ def test_repeated_rows_and_nulls(spark):
     assert len(mixed_words(docs).collect()) == 5
     assert len(predict(docs, fit(docs)).collect()) == 5
     assert not re.search("nothing", str(near_duplicates(docs.limit(0)).collect()))
+
+
+def test_spaced_words_are_learned_in_one_text():
+    """Without a special token between them, each with the ids it has alone."""
+    from tallyward.llm.tokens import Encoder
+
+    name = "byte_bpe_50k.json"
+    coder = Encoder(name, public_tokenizers.path(name))
+    calls, plain = [], coder._ids
+    coder._ids = lambda text: calls.append(text) or plain(text)
+    words = [" one", " it's", " '", " 's", " \u00e9t\u00e9", " \u0301x", " 12,5", " \u4e2d\u6587", " \x1cx", " \u0120a", "\ntwo", "\n", " "]
+    coder._learn([w.encode() for w in words])
+    assert calls[0] == "".join(words[:10]) and len(calls) == 2
+    for word in words:
+        ids = coder.tokenizer.encode(word, add_special_tokens=False).ids
+        assert coder.young[word.encode()] == np.array(ids, dtype="<u4").tobytes()
+
+
+def test_best_pattern_equals_plain_knapsack():
+    from tallyward.llm.packing import best_pattern
+
+    rng = np.random.default_rng(2)
+    for _ in range(30):
+        lengths = np.unique(rng.integers(1, 60, size=rng.integers(1, 20)))
+        worth = rng.random(len(lengths)) * lengths
+        best = np.zeros(61)
+        for size in range(1, 61):
+            best[size] = max([best[size - 1], *(best[size - n] + w for n, w in zip(lengths, worth) if n <= size)])
+        counts = best_pattern(lengths, worth, 60)
+        assert (counts * lengths).sum() <= 60 and abs((counts * worth).sum() - best[60]) < 1e-9
