@@ -5,10 +5,12 @@ import math
 import re
 import string
 from collections import Counter
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from tallyward.llm.common import SHUFFLES_GO, cut, discard, staged
 from tallyward.llm.fingerprints import fingerprints
 from tallyward.llm.licences import KNOWN, scan_licences, scan_sql
 from tallyward.llm.lines import letter_counts, line_report, maybe_among, near, spread, without_repeats
@@ -302,6 +304,36 @@ def test_texts_are_shuffled_of_lines_with_a_pair_only(spark):
     assert spread(spark.range(1000).select("id", F.col("id").alias("other"))).rdd.getNumPartitions() == 8
 
 
+def test_line_dedup_leaves_no_tables_but_its_result(spark):
+    """Intermediate tables go after their last use."""
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    texts = [f"one of the common lines, number {k % 7}\nand another line of document {k}" for k in range(40)]
+    tables = {p.name for p in shared.iterdir()}
+    report = line_report(table(spark, texts))
+    left = {p.name for p in shared.iterdir() if re.match("lines?-", p.name)} - tables
+    assert [x.rsplit("-", 1)[0] for x in left] == ["line-repeats"]
+    assert sum(r["n_dropped"] for r in report.collect()) > 33
+
+
+def test_shuffle_files_go_with_their_query(spark):
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        return set(re.findall(r"shuffle_\w+\.data", blocks.getAllFiles().toString()))
+
+    rows = spark.range(10_000).select(F.xxhash64("id").alias("key")).groupBy("key").count()
+    rows.collect()
+    before = shuffled()
+    assert before
+    for kept in (cut(rows), staged(rows, "rows")):
+        assert shuffled() <= before
+        assert kept.count() == 10_000
+        before = shuffled()
+    assert spark.conf.get(SHUFFLES_GO) == "false"
+    discard(kept)
+    assert not any(Path(f.removeprefix("file://")).exists() for f in kept.inputFiles())
+
+
 def test_letter_counts_rule_out_pairs_inside_the_join(spark):
     """Pairs of equal SimHashes and lengths, by what the counts of their letters allow."""
     lines = ["abcdefghij" * 4, "abcdefghij" * 3 + "klmnabcdef", "zyxwvutsrq" * 4, "a" * 40, "z" * 3 + "a" * 37]
