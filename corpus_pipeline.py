@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyward.llm.common import reach, staged
+from tallyward.llm.common import reach, small_batches, staged
 from tallyward.llm.language import fit, in_known_language
 from tallyward.llm.lines import without_repeats
 from tallyward.llm.minhash import near_duplicates
@@ -23,6 +23,7 @@ TOKENIZER, END_ID = "byte_bpe_50k.json", 0
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without text, without letters, or in no language learned go."""
     reach(spark)
+    small_batches(spark)
     return in_known_language(docs, fit(docs))
 
 
@@ -72,6 +73,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     reach(spark)
+    small_batches(spark)
     return pack_documents(docs, TOKENIZER, public_tokenizers.path(TOKENIZER), END_ID)
 
 

@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .octets import LOWER, mixed, runs
+from .tokens import release
 
 FEATURES = 1 << 13
 GRAMS = (1, 2, 3)
@@ -184,6 +185,8 @@ def fit(docs: DataFrame, per_lang: int = PER_LANG, landmarks: int | None = None)
 
 def scored(model: Model | None, texts: pa.Array, lettered: np.ndarray):
     """Names, scores, and whether each is in a learned language, in blocks of ROWS."""
+    # Workers are kept from stage to stage; one that encoded has no use for its known words here.
+    release()
     names: list[str] = [UNKNOWN] * len(texts)
     scores, known = np.zeros(len(texts)), np.zeros(len(texts), dtype=bool)
     if model is None:

@@ -5,12 +5,16 @@ import string
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_module
 import corpus_pipeline
+from tallyward.llm.common import ARROW_BYTES, BATCH_BYTES, small_batches
+from tallyward.llm.language import scored
 from tallyward.llm.mixing import mixed_words
+from tallyward.llm.tokens import encoder
 
 from .test_llm_basics import joined, shingles, words
 
@@ -193,3 +197,31 @@ def test_language_stage_drops_what_was_not_learned(spark, tmp_path):
     docs = spark.createDataFrame(rows + other + noise, DOCS)
     stage = dict(corpus_pipeline.STAGES)["language"]
     assert sorted(map(tuple, stage(spark, docs, str(tmp_path)).collect())) == rows
+
+
+def test_language_stage_frees_what_packing_remembers():
+    """Workers outlive a stage; the words known to one that packed are not held while languages are told."""
+    encoder(corpus_pipeline.TOKENIZER, public_tokenizers.path(corpus_pipeline.TOKENIZER)).encode([b"some words"])
+    scored(None, pa.array(["some words"]), np.ones(1, dtype=bool))
+    assert encoder.cache_info().currsize == 0
+
+
+def test_workers_get_a_few_megabytes_of_text_at_a_time(spark, tmp_path):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.record_batch([pa.array([batch.nbytes])], names=["size"])
+
+    before = spark.conf.get(ARROW_BYTES)
+    docs = spark.createDataFrame([(1, "some words here to read", "en", "s", None)], DOCS)
+    texts = spark.range(0, 8000, 1, 1).select(F.repeat(F.lit("x"), 2000).alias("text"))
+    try:
+        for name in ("language", "pack"):
+            spark.conf.set(ARROW_BYTES, before)
+            dict(corpus_pipeline.STAGES)[name](spark, docs, str(tmp_path))
+            got = [r["size"] for r in texts.mapInArrow(sizes, "size long").collect()]
+            assert sum(got) >= 16_000_000 and max(got) <= BATCH_BYTES + 100_000
+        spark.conf.set(ARROW_BYTES, "1000")
+        small_batches(spark)
+        assert spark.conf.get(ARROW_BYTES) == "1000"
+    finally:
+        spark.conf.set(ARROW_BYTES, before)
