@@ -10,6 +10,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from tallyward.llm import lines
 from tallyward.llm.common import SHUFFLES_GO, cut, discard, staged
 from tallyward.llm.fingerprints import fingerprints
 from tallyward.llm.licences import KNOWN, scan_licences, scan_sql
@@ -315,6 +316,23 @@ def test_line_dedup_leaves_no_tables_but_its_result(spark):
     assert sum(r["n_dropped"] for r in report.collect()) > 33
 
 
+def test_texts_meet_a_share_of_many_pairs_at_a_time(spark, monkeypatch):
+    texts = [f"{k:02d} of the lines that are all nearly equal, but for two characters" for k in range(12)]
+    docs = table(spark, texts)
+    rows = docs.select(F.xxhash64("doc_id").alias("a"), F.xxhash64("text").alias("b"), F.col("text").alias("line"))
+    classes = docs.select(F.col("doc_id").alias("id"), F.xxhash64("doc_id").alias("a"), F.xxhash64("text").alias("b"))
+    pairs = cut(spark.range(144).selectExpr("id % 12 as id", "id div 12 as other").where("id > other"))
+    met = []
+    plain = lines.within_distance
+    monkeypatch.setattr(lines, "within_distance", lambda p, t: met.append(p.count()) or plain(p, t))
+    whole = sorted(map(tuple, lines.close_lines(pairs, classes, rows).collect()))
+    assert met == [66] and len(whole) == 66
+    monkeypatch.setattr(lines, "PAIRS", 20)
+    monkeypatch.setattr(lines, "PAIRS_EACH", 1)
+    assert sorted(map(tuple, lines.close_lines(pairs, classes, rows).collect())) == whole
+    assert len(met) == 5 and sum(met[1:]) == 66
+
+
 def test_shuffle_files_go_with_their_query(spark):
     blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
 
