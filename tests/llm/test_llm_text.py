@@ -365,6 +365,51 @@ def test_letter_counts_rule_out_pairs_inside_the_join(spark):
     assert "aggregate(zip_with(" in plan
 
 
+def met_of(spark, rows):
+    """Pairs of lines that near() lets pass, all SimHashes alike."""
+    df = spark.createDataFrame(list(enumerate(rows)), "id bigint, line string")
+    words = [F.lit(0).cast("bigint").alias(f"w{k}") for k in range(8)]
+    left = df.select("id", "line", F.char_length("line").alias("long"), *words, *letter_counts())
+    right = left.select(*[F.col(c).alias("_" + c) for c in left.columns])
+    met = left.join(right, near(F.lit(8)) & (F.col("id") < F.col("_id")))
+    return {(r["id"], r["_id"]) for r in met.collect()}
+
+
+def test_letters_are_compared_by_half_of_a_line(spark):
+    """The same letters in other halves are ruled out, and no pair within the distance is."""
+    import random
+
+    assert met_of(spark, ["a" * 50 + "e" * 50, "e" * 50 + "a" * 50]) == set()
+    rng = random.Random(11)
+    for _ in range(3):
+        rows = []
+        for _ in range(60):
+            line = rng.choices("etanirs", k=rng.randint(20, 61))
+            edited, most = list(line), len(line) // 10
+            kind = rng.choice(("in", "out", "any"))
+            for _ in range(most):
+                at = rng.randrange(len(edited)) if kind == "any" else rng.choice((0, len(edited) - 1))
+                if kind == "in":
+                    edited.insert(at, rng.choice("etanirs"))
+                elif kind == "out":
+                    edited.pop(at)
+                else:
+                    edited[at] = rng.choice("etanirs")
+            rows += ["".join(line), "".join(edited)]
+        assert {(k, k + 1) for k in range(0, len(rows), 2)} <= met_of(spark, rows)
+
+
+def test_a_frequent_feature_does_not_make_the_key_of_its_block(spark):
+    """Lines that share but one often repeated run of characters have no key in common."""
+    rows = ["th" * 40 + x for x in ("qu", "ve", "mi", "zo", "ka", "wy", "pl", "sn")]
+    df = spark.createDataFrame([(k, k, 1, x) for k, x in enumerate(rows)], "a bigint, b bigint, n bigint, line string")
+    forms = lines.with_blocks(df).select("a", F.explode("forms").alias("form")).select("a", F.explode("form.keys"))
+    assert forms.count() == forms.select("col").distinct().count()
+    plain = [x for x in ("one,  two", " a b ", "x\t\ty.", "- c --d", "e f") ]
+    df = spark.createDataFrame([(x,) for x in plain], "line string").select(lines.normalised(F.col("line")).alias("line"))
+    assert [r["line"] for r in df.collect()] == ["one two", "a b", "x y", "c d", "e f"]
+
+
 def test_draws_stand_under_no_condition(spark):
     """Else nothing that a draw uses several times is computed once; bags without words stay empty."""
     docs = table(spark, ["some words here", None, "", "some words here", " \n"])
