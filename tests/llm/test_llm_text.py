@@ -419,3 +419,60 @@ def test_draws_stand_under_no_condition(spark):
     rows = {r["doc_id"]: r for r in found.collect()}
     assert [rows[k]["fingerprint"] == "" for k in range(5)] == [False, True, True, False, True]
     assert rows[0]["fingerprint"] == rows[3]["fingerprint"] and rows[1]["near_next"] == 1 and rows[0]["near_next"] == 0
+
+
+def test_lines_are_normalised_once(spark):
+    """A text is normalised in one pass, and its lines are those that are normalised one by one."""
+    texts = ["One,  two\n\n .\r\n -- THREE\tfour \n\x0b", None, "", "\n", "Σας ΟΔΟΣ\nΟΔΟΣ. É!\n a  b"]
+    found = lines.corpus_lines(table(spark, texts))
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace(") == 1
+    each = table(spark, texts).select("doc_id", F.posexplode(F.split("text", "\n")))
+    each = each.select("doc_id", "pos", lines.normalised(F.col("col")).alias("line")).where("line <> ''")
+    got = sorted(map(tuple, found.select("doc_id", "line_no", "line").collect()))
+    assert got == sorted(map(tuple, each.collect()))
+    assert got[:2] == [(0, 0, "one two"), (0, 3, "three four")]
+
+
+def test_most_letters_are_compared_without_a_loop(spark):
+    """The counts of all letters but two, in either half, before the loop sees a pair."""
+    import random
+
+    rng = random.Random(5)
+    rows = ["".join(rng.choices("etanirsohdlcum q", k=rng.choice((3, 40, 400)))) for _ in range(40)]
+    rows += ["e" * 1400 + "t" * 3, "t" * 1400 + "e" * 3, "c" * 1100, "", "s" * 50, "m" * 50]
+    df = spark.createDataFrame(list(enumerate(rows)), "id bigint, line string")
+    left = df.select("id", *letter_counts())
+    right = left.select(*[F.col(c).alias("_" + c) for c in left.columns])
+    apart = lines.most_letters_apart()
+    got = {(r[0], r[1]): r[2] for r in left.crossJoin(right).select("id", "_id", apart.alias("apart")).collect()}
+
+    def counts(line):
+        halves = line[: len(line) // 2], line[len(line) // 2 :]
+        return [min(half.count(x), 511) for half in halves for x in "etanirohdlcu"]
+
+    for (one, two), value in got.items():
+        assert value == sum(abs(x - y) for x, y in zip(counts(rows[one]), counts(rows[two]), strict=True))
+    plan = left.crossJoin(right).select(apart.alias("apart"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "zip_with" not in plan
+
+
+def test_words_that_lines_begin_or_end_with_are_no_part_of_the_distance(spark):
+    """Edit distances of random lines equal those of whole lines, with words put in, taken out and changed."""
+    import random
+
+    rng = random.Random(3)
+    pairs = [("a b c", "a c"), ("a b", "a b c"), ("b", "a b"), ("a a a a", "a a a"), ("abc def", "abd def"), ("x", "y")]
+    for _ in range(300):
+        one = [rng.choice(("a", "the", "lines", "wordy", "é", "extraordinary")) for _ in range(rng.randint(1, 30))]
+        two = list(one)
+        for _ in range(rng.randint(1, 4)):
+            at = rng.randrange(len(two) + 1)
+            two[at : at + rng.randint(0, 1)] = rng.choice(([], ["new"], ["a"], ["a", "line"]))
+        if two and one != two:
+            pairs.append((" ".join(one), " ".join(two)))
+    df = spark.createDataFrame([(a, b, most) for a, b in pairs for most in (0, 1, 3, 8)], "a string, b string, most int")
+    pair = F.struct(F.split("a", " ").alias("one"), F.split("b", " ").alias("two"), F.col("most").alias("most"))
+    got = df.select("a", "b", "most", lines.let(pair, lines.near_words).alias("got"), F.levenshtein("a", "b").alias("all"))
+    rows = got.collect()
+    assert all(r["got"] == (r["all"] <= r["most"]) for r in rows)
+    assert {r["got"] for r in rows} == {True, False}
